@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,20 +39,20 @@ def is_json_null(v: Column) -> Column:
     return F.coalesce(F.is_variant_null(v), F.lit(False))
 
 
+def _first(cases: list[tuple[Column, Column]], otherwise: Column) -> Column:
+    """One flat CASE over the cases in order."""
+    out = F.when(*cases[0])
+    for condition, value in cases[1:]:
+        out = out.when(condition, value)
+    return out.otherwise(otherwise)
+
+
 def detect_table(v: Column) -> Column:
     """Table whose identifying columns a row image carries, first match wins."""
-    out = F.lit(UNKNOWN)
-    for table, needed in reversed(DETECTION_RULES):
-        hit = F.lit(True)
-        for name in needed:
-            hit = hit & present(v, name)
-        out = F.when(hit, F.lit(table)).otherwise(out)
-    return out
+    cases = [(reduce(and_, [present(v, n) for n in needed]), F.lit(table)) for table, needed in DETECTION_RULES]
+    return _first(cases, F.lit(UNKNOWN))
 
 
 def operation_name(code: Column) -> Column:
     """One-letter change code to its operation name."""
-    out = F.lit(UNKNOWN)
-    for short, name in OPERATION_CODES.items():
-        out = F.when(code == short, F.lit(name)).otherwise(out)
-    return out
+    return _first([(code == short, F.lit(name)) for short, name in OPERATION_CODES.items()], F.lit(UNKNOWN))

@@ -109,7 +109,7 @@ def classify(events: DataFrame, ingest_ts: Column | str | None = None) -> DataFr
     shape, event, envelope, size = F.col("shape"), F.col("event"), F.col("envelope"), F.col("size")
     after, before, row = F.col("after"), F.col("before"), F.col("row")
     has_after, has_before = F.col("has_after"), F.col("has_before")
-    is_coded, pair, bare = shape.isin("coded", "coded_flat"), shape == "pair", shape == "bare"
+    is_coded, pair, bare, removed = F.col("is_coded"), shape == "pair", shape == "bare", F.col("removed")
 
     opened = (
         events.withColumn("shape", _shape(event))
@@ -117,55 +117,62 @@ def classify(events: DataFrame, ingest_ts: Column | str | None = None) -> DataFr
             {
                 "envelope": F.when(shape == "coded", field(event, "payload")).otherwise(event),
                 "size": F.when(bare, F.coalesce(F.size(members(event)), F.lit(-1))),
+                "is_coded": shape.isin("coded", "coded_flat"),
             }
         )
         .withColumns({"after": field(envelope, "after"), "before": field(envelope, "before")})
         .withColumns({"has_after": is_truthy(after), "has_before": is_truthy(before), "removed": is_json_null(after)})
     )
-    removed = F.col("removed")
-    image = (
-        F.when(bare, event).when(has_after, after).when(has_before & (is_coded | (pair & removed)), before)
-    )
+    image = F.when(bare, event).when(has_after, after).when(has_before & (is_coded | (pair & removed)), before)
     op = (
         F.when(bare, F.lit(SNAPSHOT))
-        .when(is_coded, operation_name(field(envelope, "op", "string")))
+        .when(is_coded, operation_name(F.col("code")))
         .when(removed, F.lit(DELETE))
         .when(has_before, F.lit(UPDATE))
         .otherwise(F.lit(INSERT))
     )
     reason = (
-        F.when(shape == "invalid", F.lit("invalid_json"))
-        .when(bare & is_json_null(event), F.lit("null_body"))
-        .when(bare & (size < 0), F.lit("not_an_object"))
+        F.when(bare & (size > 0) | has_after, F.lit(None).cast("string"))
+        .when(shape == "invalid", F.lit("invalid_json"))
         .when(bare & (size == 0), F.lit("empty_row"))
-        .when(bare | has_after, F.lit(None).cast("string"))
+        .when(bare & is_json_null(event), F.lit("null_body"))
+        .when(bare, F.lit("not_an_object"))
         .when(is_coded & ~has_before, F.lit("no_row_image"))
         .when(pair & removed & ~has_before, F.lit("delete_without_before"))
-        .when(pair & ~removed, F.when(is_object(after), F.lit("empty_after")).otherwise(F.lit("row_not_an_object")))
-    )
-    own_time = F.when(is_coded, F.coalesce(field(envelope, "ts_ms", "string"), field(event, "updated", "string"))).when(
-        pair, field(event, "updated", "string")
+        .when(pair & ~removed & is_object(after), F.lit("empty_after"))
+        .when(pair & ~removed, F.lit("row_not_an_object"))
     )
     named = F.coalesce(
         field(event, TABLE_MEMBER, "string"),
         F.when(is_coded, F.try_variant_get("envelope", "$.source.table", "string")),
         F.col("batch_table"),
     )
-    judged = (
-        opened.select(
-            "feed",
-            "bad_text",
-            "event",
-            F.when(bare & (size == 1), field(event, "resolved", "string")).alias("resolved"),
-            reason.alias("reason"),
-            named.alias("named_table"),
-            op.alias("cdc_operation"),
-            F.coalesce(F.nullif(own_time, F.lit("")), _ingest_text(ingest_ts)).alias("cdc_timestamp"),
-            image.alias("row"),
-        )
-        .withColumn("cdc_table", F.coalesce("named_table", detect_table(row)))
-        .withColumn("reason", F.coalesce("reason", _uncastable()))
+    own_time = F.coalesce(
+        F.when(is_coded, field(envelope, "ts_ms", "string")), F.when(~bare, field(event, "updated", "string"))
+    )
+    described = _at_once(
+        opened.withColumn("code", field(envelope, "op", "string")),
+        F.col("feed"),
+        F.col("bad_text"),
+        event,
+        F.when(bare & (size == 1), field(event, "resolved", "string")).alias("resolved"),
+        reason.alias("reason"),
+        op.alias("cdc_operation"),
+        image.alias("row"),
+        named.alias("named_table"),
+        own_time.alias("own_time"),
     )
+    judged = described.select(
+        "feed",
+        "bad_text",
+        "event",
+        "resolved",
+        "reason",
+        "cdc_operation",
+        "row",
+        F.coalesce("named_table", detect_table(row)).alias("cdc_table"),
+        F.coalesce(F.nullif("own_time", F.lit("")), _ingest_text(ingest_ts)).alias("cdc_timestamp"),
+    ).withColumn("reason", F.coalesce("reason", _uncastable()))
     kind = (
         F.when(F.col("resolved").isNotNull(), F.lit(PROGRESS))
         .when(F.col("reason").isNotNull(), F.lit(DEAD))

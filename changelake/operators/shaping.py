@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changelake.functions.rows import field, present
+from changelake.functions.rows import present
 from changelake.operators.envelope import TABLE_MEMBER
 from changelake.schemas import META_COLUMNS, REGISTRY, TableSpec, default_for
 
@@ -22,21 +22,24 @@ def is_text_table(spec: TableSpec) -> bool:
     return all(isinstance(f.dataType, T.StringType) for f in spec.columns.fields)
 
 
-def _column(spec: TableSpec, f: T.StructField) -> Column:
-    row = F.col("row")
-    value = field(row, f.name, f.dataType.simpleString())
+def _value(spec: TableSpec, f: T.StructField) -> Column:
+    value = F.col(f"_row.{f.name}")
     default = F.lit(default_for(f.dataType)).cast(f.dataType)
-    if is_text_table(spec):
-        return F.coalesce(value, default).alias(f.name)
-    return F.when(present(row, f.name), value).otherwise(default).alias(f.name)
+    missing = F.lit(True) if is_text_table(spec) else ~present(F.col("row"), f.name)
+    return F.coalesce(value, F.when(missing, default)).alias(f.name)
 
 
 def table_rows(rows: DataFrame, table: str) -> DataFrame:
-    """The rows of one registered table as its columns plus change columns."""
+    """The rows of one registered table as its columns plus change columns.
+
+    All members are read in one pass over the row image.
+    """
     spec = REGISTRY[table]
-    own = rows.filter(F.col("cdc_table") == table)
+    opened = rows.filter(F.col("cdc_table") == table).withColumn(
+        "_row", F.try_variant_get("row", "$", spec.columns.simpleString())
+    )
     carried = [c for c in ("feed",) if c in rows.columns]
-    return own.select(*[_column(spec, f) for f in spec.columns.fields], *META_COLUMNS, *TIME_COLUMNS, *carried)
+    return opened.select(*[_value(spec, f) for f in spec.columns.fields], *META_COLUMNS, *TIME_COLUMNS, *carried)
 
 
 def route(rows: DataFrame, tables: list[str] | None = None) -> dict[str, DataFrame]:
