@@ -23,3 +23,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None) -> DataFrame:
     if max_rows is not None and max_rows <= BROADCAST_ROWS:
         return F.broadcast(df)
     return df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give heavy per-row work at least one task per core.
+
+    A scan of a few small files has fewer tasks than cores; only then are its
+    rows dealt out evenly.  A scan with enough tasks is returned unchanged, so
+    large inputs are never shuffled by this.  ``df`` must be a scan with narrow
+    steps only: its task count is read off the plan without running anything.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changelake import workdir
+from changelake.functions.sized import spread
 from changelake.operators import changes as C
 from changelake.operators import envelope as N
 from changelake.operators import reports as R
@@ -155,7 +156,7 @@ def snapshot_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_stream(spark: SparkSession, sf_dir: str) -> str:
     """Land the before/after feed as text files, one set per change number."""
     landing, base = workdir.fresh(spark, "landing"), workdir.fresh(spark, "stream")
-    feed = X.changes(spark, sf_dir).select("seq", EF.pair_event(F.col("seq"), X.change_time()).alias("value"))
+    feed = spread(X.changes(spark, sf_dir)).select("seq", EF.pair_event(F.col("seq"), X.change_time()).alias("value"))
     feed.write.partitionBy("seq").text(landing)
     files = catalog.list_output(spark, landing, n=1, pattern="*.txt").first()["total_files"]
     stream = event_files.stream_events(spark, landing, max_files=max(1, -(-files // 3)))

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Recording the call site of every Column costs more than building small plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
