@@ -19,6 +19,8 @@ from changelake.schemas import DELETE, INSERT, SNAPSHOT, UPDATE
 
 KEY = "expense_id"
 
+SUBQUERY_ROWS = 1_000
+
 
 def source_counts(**sources: DataFrame) -> DataFrame:
     """Row count of each named table."""
@@ -104,8 +106,10 @@ def latest_generation(snap: DataFrame) -> DataFrame:
 def full_lifecycle(log: DataFrame, live: DataFrame, snap: DataFrame, n: int = 20) -> DataFrame:
     """Status, amounts and change counts of the most changed expenses.
 
-    The order depends on the log alone, so the ``n`` rows are taken first; the
-    live and snapshot tables are then only filtered by those few keys.
+    The order depends on the log alone, so the ``n`` rows are taken first.  They
+    travel as one subquery value that is computed once and used three times: as
+    the rows to complete and as the filter on the live and snapshot scans.  Past
+    the size bound the rows are joined instead.
     """
     per_key = log.groupBy(KEY, "merchant").agg(
         F.count("cdc_operation").alias("total_cdc_events"),
@@ -113,14 +117,17 @@ def full_lifecycle(log: DataFrame, live: DataFrame, snap: DataFrame, n: int = 20
         F.max("cdc_ts").alias("last_changed"),
     )
     picked = top_k(per_key, n, F.desc("total_cdc_events"), F.col(KEY), F.col("merchant"))
-    keys = broadcast_if_small(picked.select(KEY), n)
-    now = live.join(keys, KEY, "left_semi").select(
-        KEY, F.col("merchant").alias("_merchant"), shown(amount()).alias("live_amount"), F.lit(True).alias("_live")
-    )
-    then = latest_generation(snap).join(keys, KEY, "left_semi").select(KEY, shown(amount()).alias("snapshot_amount"))
+    now = live.select(KEY, F.col("merchant").alias("_merchant"), shown(amount()).alias("live_amount"), F.lit(True).alias("_live"))
+    then = latest_generation(snap).select(KEY, shown(amount()).alias("snapshot_amount"))
+    if n <= SUBQUERY_ROWS:
+        value = F.struct(F.collect_list(KEY).alias("keys"), F.collect_list(F.struct(*picked.columns)).alias("rows"))
+        found = picked.agg(value.alias("found")).scalar()
+        picked = log.sparkSession.range(1).select(F.inline(found["rows"]))
+        wanted = F.array_contains(found["keys"], F.col(KEY))
+        now, then = (broadcast_if_small(df.filter(wanted), n) for df in (now, then))
     return (
-        picked.join(broadcast_if_small(now, n), KEY, "left")
-        .join(broadcast_if_small(then, n), KEY, "left")
+        picked.join(now, KEY, "left")
+        .join(then, KEY, "left")
         .select(
             KEY,
             F.when(F.col("_live"), F.lit("Active")).otherwise(F.lit("Deleted")).alias("status"),
