@@ -29,7 +29,7 @@ def _value(spec: TableSpec, f: T.StructField) -> Column:
     return F.coalesce(value, F.when(missing, default)).alias(f.name)
 
 
-def table_rows(rows: DataFrame, table: str) -> DataFrame:
+def typed_rows(rows: DataFrame, table: str) -> DataFrame:
     """The rows of one registered table as its columns plus change columns.
 
     All members are read in one pass over the row image.
@@ -44,7 +44,7 @@ def table_rows(rows: DataFrame, table: str) -> DataFrame:
 
 def route(rows: DataFrame, tables: list[str] | None = None) -> dict[str, DataFrame]:
     """One DataFrame per registered table out of a mixed feed."""
-    return {t: table_rows(rows, t) for t in (tables or REGISTRY)}
+    return {t: typed_rows(rows, t) for t in (tables or REGISTRY)}
 
 
 def text_map_rows(rows: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ def shown_rows(df: DataFrame, *drop: str) -> DataFrame:
 
 
 def expense_rows(raw: DataFrame) -> DataFrame:
-    return shown_rows(T.table_rows(N.normalize(raw, INGEST_TS).rows, "expenses"))
+    return shown_rows(T.typed_rows(N.normalize(raw, INGEST_TS).rows, "expenses"))
 
 
 PAIR_LOG = expenses(
@@ -119,7 +119,7 @@ WHEN 8 THEN 'uncastable_expense_amount' END AS reason, COUNT(*) AS dead_count FR
     )
     c.add(
         "default_fill",
-        lambda s, d: shown_rows(T.table_rows(N.normalize(V.sparse_feed(s, d), INGEST_TS).rows, "expenses")),
+        lambda s, d: shown_rows(T.typed_rows(N.normalize(V.sparse_feed(s, d), INGEST_TS).rows, "expenses")),
         """SELECT CAST(o_orderkey AS VARCHAR) AS expense_id, '' AS user_id, '' AS description,
 CASE WHEN o_orderkey % 2 = 0 THEN CONCAT('merchant-', CAST(o_custkey % 40 AS VARCHAR)) WHEN o_orderkey % 3 = 0 THEN NULL ELSE '' END AS merchant,
 CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(0 AS DOUBLE) END AS expense_amount, '' AS expense_date, '' AS shopping_type, '' AS payment_method,
@@ -128,7 +128,7 @@ FALSE AS recurring, 'expenses' AS cdc_table, 'snapshot' AS cdc_operation, TIMEST
     c.add(
         "fill_defaults",
         lambda s, d: shown_rows(
-            T.fill_defaults(T.table_rows(N.normalize(V.sparse_feed(s, d), INGEST_TS).rows, "expenses"), "expenses"),
+            T.fill_defaults(T.typed_rows(N.normalize(V.sparse_feed(s, d), INGEST_TS).rows, "expenses"), "expenses"),
             *META_COLUMNS,
             "cdc_ts",
         ),
@@ -138,7 +138,7 @@ CAST(0 AS DOUBLE) AS expense_amount, '' AS expense_date, '' AS shopping_type, ''
     )
     c.add(
         "text_table_rows",
-        lambda s, d: T.table_rows(N.normalize(V.typed_order_feed(s, d), INGEST_TS).rows, "order").drop(*T.TIME_COLUMNS, "feed"),
+        lambda s, d: T.typed_rows(N.normalize(V.typed_order_feed(s, d), INGEST_TS).rows, "order").drop(*T.TIME_COLUMNS, "feed"),
         f"""SELECT CAST(o_orderkey AS VARCHAR) AS o_id, '' AS o_d_id, '' AS o_w_id, CAST(o_custkey AS VARCHAR) AS o_c_id,
 CONCAT('{{"code":"', o_orderstatus, '"}}') AS o_entry_d, '' AS o_carrier_id,
 CASE WHEN CAST(o_totalprice AS DECIMAL(12,2)) % 1 = 0 THEN CAST(CAST(o_totalprice AS BIGINT) AS VARCHAR)
@@ -148,7 +148,7 @@ CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'false' END AS o_all_local,
     )
     c.add(
         "all_text_columns",
-        lambda s, d: T.all_strings(T.table_rows(N.normalize(V.pair_feed(s, d), INGEST_TS).rows, "expenses").drop("feed", *T.TIME_COLUMNS, "cdc_timestamp")),
+        lambda s, d: T.all_strings(T.typed_rows(N.normalize(V.pair_feed(s, d), INGEST_TS).rows, "expenses").drop("feed", *T.TIME_COLUMNS, "cdc_timestamp")),
         expenses("""SELECT expense_id, user_id, description, merchant, CAST(expense_amount AS VARCHAR) AS expense_amount, expense_date, shopping_type, payment_method,
 CASE WHEN recurring THEN 'true' ELSE 'false' END AS recurring, cdc_table,
 CASE WHEN cdc_operation = 'snapshot' THEN 'insert' ELSE cdc_operation END AS cdc_operation FROM cdc"""),

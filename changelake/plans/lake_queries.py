@@ -39,7 +39,7 @@ FIRST_STAMP, SECOND_STAMP = "2024-01-01 00:00:00", "2024-01-02 00:00:00"
 
 
 def normalized_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.table_rows(N.normalize(EF.pair_feed(spark, sf_dir), INGEST_TS).rows, "expenses")
+    return T.typed_rows(N.normalize(EF.pair_feed(spark, sf_dir), INGEST_TS).rows, "expenses")
 
 
 # -- sinks -------------------------------------------------------------------

@@ -18,14 +18,24 @@ def dated(df: DataFrame, date: Column | None = None) -> DataFrame:
     )
 
 
-def write_archive(df: DataFrame, base: str, table: str, date: Column | None = None, mode: str = "append") -> str:
+def write_archive(
+    df: DataFrame, base: str, table: str, date: Column | None = None, commit_id: int | None = None
+) -> str:
     """Append rows to a table's archive and return its folder.
 
     ``base`` is any Hadoop file-system URI.  Rows are rebalanced by day, so a
     day becomes a few well-sized files and a very large day is split over
-    several tasks instead of landing in one.
+    several tasks instead of landing in one.  With a ``commit_id`` the rows get
+    a folder of their own below each day, and writing the commit again replaces
+    those folders only; that needs a ``date`` taken from the rows.
     """
     path = archive_path(base, table)
     out = dated(df, date).hint("rebalance", *DATE_PARTS)
-    out.write.mode(mode).option("compression", "snappy").partitionBy(*DATE_PARTS).parquet(path)
+    if commit_id is None:
+        parts, mode = DATE_PARTS, "append"
+    else:
+        out = out.withColumn("commit_id", F.lit(commit_id).cast("bigint"))
+        parts, mode = (*DATE_PARTS, "commit_id"), "overwrite"
+    writer = out.write.mode(mode).option("compression", "snappy").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*parts).parquet(path)
     return path

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from changelake.operators.envelope import DATA, DEAD, PROGRESS, classify, split, unpack
-from changelake.operators.shaping import table_rows
+from changelake.operators.shaping import typed_rows
 from changelake.schemas import META_COLUMNS, REGISTRY
+from changelake.sinks.archive import write_archive
 from changelake.sinks.log import append_log, append_side, write_commit
 
 OTHER = "_other"
@@ -26,11 +27,14 @@ OTHER = "_other"
 BATCH_SECONDS = 60
 
 
-def write_batch(batch: DataFrame, base: str, commit_id: int, ingest_ts: str | None = None) -> dict[str, int]:
+def write_batch(
+    batch: DataFrame, base: str, commit_id: int, ingest_ts: str | None = None, archive: str | None = None
+) -> dict[str, int]:
     """Normalize one bounded feed and commit it; returns the row counts.
 
     The classified events are kept while the tables are written from them; the
-    table names come from the registry, so their number is fixed.
+    table names come from the registry, so their number is fixed.  ``archive``
+    also files the rows under the day of their change.
     """
     stamp = ingest_ts or datetime.now(timezone.utc).isoformat()
     registered = F.when(F.col("cdc_table").isin(*REGISTRY), F.col("cdc_table")).otherwise(F.lit(OTHER))
@@ -40,7 +44,10 @@ def write_batch(batch: DataFrame, base: str, commit_id: int, ingest_ts: str | No
         counts = {r["target"]: r["n"] for r in events.groupBy(target.alias("target")).agg(F.count(F.lit(1)).alias("n")).collect()}
         found = split(events)
         for table in (t for t in REGISTRY if t in counts):
-            append_log(table_rows(found.rows, table), base, table, commit_id)
+            rows = typed_rows(found.rows, table)
+            append_log(rows, base, table, commit_id)
+            if archive:
+                write_archive(rows.drop("feed"), archive, table, F.coalesce("cdc_ts", F.to_timestamp(F.lit(stamp))), commit_id)
         if OTHER in counts:
             unregistered = found.rows.filter(~F.col("cdc_table").isin(*REGISTRY)).select(
                 "feed", *META_COLUMNS, "cdc_ts", "cdc_seq", F.to_json("row").alias("body")
@@ -57,16 +64,25 @@ def write_batch(batch: DataFrame, base: str, commit_id: int, ingest_ts: str | No
 
 
 def run_to_log(
-    stream: DataFrame, base: str, checkpoint: str | None = None, trigger: dict | None = None, ingest_ts: str | None = None
+    stream: DataFrame,
+    base: str,
+    checkpoint: str | None = None,
+    trigger: dict | None = None,
+    ingest_ts: str | None = None,
+    archive: str | None = None,
 ) -> StreamingQuery:
-    """Start landing a streaming feed below ``base``.
+    """Start landing a streaming feed below ``base``, and in ``archive`` if given.
 
     ``trigger`` is what ``DataStreamWriter.trigger`` takes; the default starts
     a batch every minute.
     """
     chosen = trigger or {"processingTime": f"{BATCH_SECONDS} seconds"}
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, base, batch_id + 1, ingest_ts, archive)
+
     return (
-        stream.writeStream.foreachBatch(lambda batch, batch_id: write_batch(batch, base, batch_id + 1, ingest_ts) and None)
+        stream.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint or f"{base}/_checkpoint")
         .trigger(**chosen)
         .start()
@@ -74,10 +90,15 @@ def run_to_log(
 
 
 def run_available(
-    stream: DataFrame, base: str, checkpoint: str | None = None, ingest_ts: str | None = None, timeout: int = 3600
+    stream: DataFrame,
+    base: str,
+    checkpoint: str | None = None,
+    ingest_ts: str | None = None,
+    timeout: int = 3600,
+    archive: str | None = None,
 ) -> StreamingQuery:
     """Land everything that is there now, then stop."""
-    query = run_to_log(stream, base, checkpoint, {"availableNow": True}, ingest_ts)
+    query = run_to_log(stream, base, checkpoint, {"availableNow": True}, ingest_ts, archive)
     if not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"the feed was not landed within {timeout} s")

@@ -21,3 +21,10 @@ def ingest_counts(query: StreamingQuery) -> dict[str, int]:
         "rows_read": sum(int(p["numInputRows"]) for p in recent),
         "rows_in_last_batch": int(recent[-1]["numInputRows"]) if recent else 0,
     }
+
+
+def pending(progress: dict) -> int | None:
+    """Messages a source still holds, by a progress report; None if it does not say."""
+    behind = [s.get("metrics", {}).get("maxOffsetsBehindLatest") for s in progress.get("sources", [])]
+    known = [int(b) for b in behind if b is not None]
+    return sum(known) if known else None

@@ -41,7 +41,7 @@ def dead(spark, *bodies):
 
 
 def expenses(spark, *bodies):
-    return T.table_rows(N.normalize(feed(spark, *bodies), INGEST).rows, "expenses").collect()
+    return T.typed_rows(N.normalize(feed(spark, *bodies), INGEST).rows, "expenses").collect()
 
 
 @pytest.mark.parametrize(
@@ -159,7 +159,7 @@ def test_missing_members_take_defaults_and_nulls_stay(spark):
 
 def test_text_tables_have_no_nulls(spark):
     found = N.normalize(feed(spark, {"o_id": 1, "o_c_id": 2.5, "o_all_local": True, "o_carrier_id": None}), INGEST)
-    (row,) = T.table_rows(found.rows, "order").collect()
+    (row,) = T.typed_rows(found.rows, "order").collect()
     assert (row.o_id, row.o_c_id, row.o_all_local, row.o_carrier_id, row.o_d_id) == ("1", "2.5", "true", "", "")
 
 
@@ -232,5 +232,12 @@ def test_kafka_options():
 
 def test_normalizing_needs_no_shuffle(spark):
     found = N.normalize(feed(spark, {"after": ROW}), INGEST)
-    plan = T.table_rows(found.rows, "expenses")._jdf.queryExecution().executedPlan().toString()
+    plan = T.typed_rows(found.rows, "expenses")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_a_mixed_feed_is_routed(spark):
+    mixed = N.normalize(feed(spark, {"after": ROW}, {"w_id": 1, "w_name": "n"}, {"i_id": 5, "i_name": "x"}, {"q": 1}), INGEST)
+    routed = T.route(mixed.rows, ["expenses", "warehouse", "item", "stock"])
+    assert {t: df.count() for t, df in routed.items()} == {"expenses": 1, "warehouse": 1, "item": 1, "stock": 0}
+    assert routed["item"].first().i_price == ""

@@ -38,8 +38,9 @@ def land(folder, *numbers):
         (folder / f"batch-{n}.txt").write_text("\n".join(json.dumps(e) for e in BATCHES[n]) + "\n")
 
 
-def start(spark, landing, base):
-    return ingest.run_available(events.stream_events(spark, str(landing), max_files=1), base, ingest_ts=INGEST, timeout=120)
+def start(spark, landing, base, **more):
+    stream = events.stream_events(spark, str(landing), max_files=1)
+    return ingest.run_available(stream, base, ingest_ts=INGEST, timeout=120, **more)
 
 
 def log_keys(spark, base):
@@ -138,3 +139,19 @@ def test_commit_filter_prunes_folders(spark, tmp_path):
     plan = log._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(commit_id" in plan and "commit_id#" in plan
     assert "ReadSchema: struct<expense_id:string>" in plan
+
+
+def test_archive_beside_the_log(spark, landing, tmp_path):
+    base, filed = str(tmp_path / "lake"), str(tmp_path / "archive")
+    land(landing, 0, 1)
+    start(spark, landing, base, archive=filed)
+    batch = spark.createDataFrame([(json.dumps(e),) for e in BATCHES[1]], "value string")
+    ingest.write_batch(batch, base, 2, INGEST, filed)  # delivered again
+    assert (tmp_path / "archive/spending/expenses/year=1970/month=01/day=01/commit_id=2").is_dir()
+    assert sorted(r.expense_id for r in lake.read_archive(spark, filed).collect()) == ["a", "a", "b"]
+    assert lake.read_archive(spark, filed, "warehouse").first().w_id == "1"
+
+
+def test_pending_messages():
+    assert stats.pending({"sources": [{"metrics": {"maxOffsetsBehindLatest": "7"}}, {"metrics": {}}]}) == 7
+    assert stats.pending({"sources": [{}]}) is None
