@@ -25,7 +25,7 @@ from changelake.plans.envelope_queries import INGEST_TS, ORDER_ENTRY_MEMBERS, PA
 from changelake.plans.log_queries import IMAGE, state_view
 from changelake.plans.oracle_views import expenses as sql
 from changelake.plans.oracle_views import order_entry as order_sql
-from changelake.schemas import REGISTRY
+from changelake.schemas import RAW_EVENT_TYPE, REGISTRY
 from changelake.sinks import archive, ddl
 from changelake.sinks import log as log_sink
 from changelake.sinks import snapshot as snapshot_sink
@@ -55,7 +55,7 @@ def archived(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
 def raw_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = workdir.fresh(spark, "raw-changefeed")
     rows = EF.raw_changefeed(spark, sf_dir)
-    first = F.col("__crdb__event_type") == "c"
+    first = F.col(RAW_EVENT_TYPE) == "c"
     rows.filter(first).write.parquet(f"{base}/2024-01-01")
     rows.filter(~first).write.parquet(f"{base}/2024-01-02")
     found = raw.read_raw_changefeed(spark, base)

@@ -14,7 +14,7 @@ from changelake.operators import envelope as N
 from changelake.operators import reports as R
 from changelake.operators import shaping as T
 from changelake.operators import state as S
-from changelake.schemas import REGISTRY
+from changelake.schemas import RAW_BEFORE, RAW_EVENT_TYPE, RAW_UPDATED, REGISTRY
 from changelake.sinks import archive, ddl
 from changelake.sinks import log as log_sink
 from changelake.sinks import snapshot
@@ -122,7 +122,7 @@ def test_raw_changefeed_skips_markers_and_fills_deletes(spark, tmp_path):
         ("a", Decimal("1.50"), "c", "1000000000.0000000000", None),
         ("a", None, "d", "2000000000.0000000000", '{"expense_id":"a","expense_amount":1.5,"merchant":"m"}'),
     ]
-    columns = "expense_id string, expense_amount decimal(12,2), __crdb__event_type string, __crdb__updated string, __crdb__before string"
+    columns = f"expense_id string, expense_amount decimal(12,2), {RAW_EVENT_TYPE} string, {RAW_UPDATED} string, {RAW_BEFORE} string"
     spark.createDataFrame(rows, columns).coalesce(1).write.parquet(str(day))
     (day / "20240203.RESOLVED").write_text("marker")
     found = sorted(raw.read_raw_changefeed(spark, str(tmp_path)).collect(), key=lambda r: r.cdc_ts)

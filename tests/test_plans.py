@@ -163,8 +163,10 @@ def test_lifecycle_without_the_bound_is_the_same(fixture, monkeypatch):
 
 def test_shares_reuse_the_grouping(fixture):
     _, log, _ = fixture
-    shape = final_plan(R.operation_share(log))
-    assert "Window" not in shape
+    share = R.operation_share(log)
+    share.collect()
+    shape = plan(share)
+    assert "Window" not in shape and "ReusedExchange" in shape
     assert abs(sum(r.share_pct for r in R.operation_share(log).collect()) - 100) < 1e-9
 
 
