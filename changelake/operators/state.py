@@ -61,11 +61,13 @@ def most_modified_audit(log: DataFrame, k: int = 5) -> DataFrame:
 def fold(base: DataFrame | None, log: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Apply a change log to a table image: the table as the changes leave it.
 
-    ``base`` rows lose against any change of the same key.
+    A base row stays unless the log names its key.  The keys are made distinct
+    before they meet the base, so with few changed keys AQE broadcasts them and
+    the base is never shuffled, and a hot key costs one row.
     """
     columns = [c for c in log.columns if c not in ("cdc_table", "cdc_operation", "cdc_timestamp", *order)]
-    if base is not None:
-        oldest = {c: F.lit(None).cast(log.schema[c].dataType) for c in order}
-        seed = base.select(*columns).withColumns({"cdc_operation": F.lit(SNAPSHOT), **oldest})
-        log = log.select(*columns, "cdc_operation", *order).unionByName(seed)
-    return current_state(log, keys, order).select(*columns)
+    changed = current_state(log, keys, order).select(*columns)
+    if base is None:
+        return changed
+    untouched = base.join(log.select(*keys).distinct(), keys, "left_anti")
+    return untouched.select(*columns).unionByName(changed)

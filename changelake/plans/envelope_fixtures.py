@@ -87,7 +87,7 @@ def _bodies(spark: SparkSession, sf_dir: str, opening: str, closing: str) -> Dat
     key = F.col("k")
     present = {0: F.lit(True), 1: key % 4 == 0, 2: key % 8 == 0, 3: key % 7 == 0}
     events = [
-        F.when(cond, pair_event(F.lit(step), X._days(F.col("d0"), F.lit(step)))) for step, cond in present.items()
+        F.when(cond, pair_event(F.lit(step), X.plus_days(F.col("d0"), F.lit(step)))) for step, cond in present.items()
     ]
     body = F.concat(F.lit(opening), F.concat_ws(",", *events), F.lit(closing))
     return _feed(X.expense_base(spark, sf_dir), body)

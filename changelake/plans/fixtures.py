@@ -47,7 +47,7 @@ def _text(c: Column) -> Column:
     return c.cast("string")
 
 
-def _days(start: Column, n: Column) -> Column:
+def plus_days(start: Column, n: Column) -> Column:
     return start + F.make_dt_interval(n)
 
 
@@ -123,7 +123,7 @@ def operation() -> Column:
 
 
 def change_time() -> Column:
-    return _days(F.col("d0"), _seq())
+    return plus_days(F.col("d0"), _seq())
 
 
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,7 +167,7 @@ def commits(spark: SparkSession, sf_dir: str) -> DataFrame:
         "commit_id",
         F.when(F.col("commit_id") > 1, F.col("commit_id") - 1).alias("parent_id"),
         F.lit("append").alias("operation"),
-        _days(_first_day(), F.col("commit_id") - 1).alias("committed_at"),
+        plus_days(_first_day(), F.col("commit_id") - 1).alias("committed_at"),
         F.create_map(F.lit("added_rows"), _text(F.col("added_rows"))).alias("summary"),
     )
 
@@ -203,7 +203,7 @@ def t_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text(F.col("o_custkey")).alias("o_c_id"),
         _text(key % 11 + 5).alias("o_ol_cnt"),
         F.when(_seq() == 1, district).otherwise(F.lit("")).alias("o_carrier_id"),
-        *_meta("order", _insert_like(key), _days(F.col("o_orderdate"), _seq())),
+        *_meta("order", _insert_like(key), plus_days(F.col("o_orderdate"), _seq())),
     )
 
 
@@ -215,7 +215,7 @@ def t_order_line(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text(F.col("l_suppkey") % 10 + 1).alias("ol_d_id"),
         _text(F.col("l_linenumber")).alias("ol_number"),
         _text(F.col("l_extendedprice").cast(AMOUNT)).alias("ol_amount"),
-        *_meta("order_line", _insert_like(key), _days(F.col("l_shipdate"), _seq())),
+        *_meta("order_line", _insert_like(key), plus_days(F.col("l_shipdate"), _seq())),
     )
 
 
@@ -226,7 +226,7 @@ def t_new_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_steps(pending, key % 3 != 0).select(
         _text(key).alias("no_o_id"),
         _text(key % 10 + 1).alias("no_d_id"),
-        *_meta("new_order", op, _days(F.col("o_orderdate"), _seq())),
+        *_meta("new_order", op, plus_days(F.col("o_orderdate"), _seq())),
     )
 
 
@@ -241,7 +241,7 @@ def t_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 10 == 0, F.lit("BC")).otherwise(F.lit("GC")).alias("c_credit"),
         _text(start + (_seq() * 100).cast(AMOUNT)).alias("c_balance"),
         _text(key % 37 + _seq()).alias("c_payment_cnt"),
-        *_meta("customer", _snapshot_like(), _days(_first_day(), _seq())),
+        *_meta("customer", _snapshot_like(), plus_days(_first_day(), _seq())),
     )
 
 
@@ -252,7 +252,7 @@ def t_district(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text(F.col("n_regionkey")).alias("d_w_id"),
         F.col("n_name").alias("d_name"),
         _text(_seq() * 100 + 30000).alias("d_ytd"),
-        *_meta("district", _snapshot_like(), _days(_first_day(), _seq())),
+        *_meta("district", _snapshot_like(), plus_days(_first_day(), _seq())),
     )
 
 
@@ -272,7 +272,7 @@ def t_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text(F.col("p_size") + _seq()).alias("s_quantity"),
         _text(key % 53 + _seq()).alias("s_order_cnt"),
         _text(key % 7).alias("s_remote_cnt"),
-        *_meta("stock", _snapshot_like(), _days(_first_day(), _seq())),
+        *_meta("stock", _snapshot_like(), plus_days(_first_day(), _seq())),
     )
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from changelake.schemas import META_COLUMNS, REGISTRY
 from changelake.sources.catalog import table_row_counts
 
+SNAPSHOT_TABLE = "expenses_snapshot"
+
 
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
     place = f" LOCATION '{location}'" if location else ""
@@ -33,8 +35,11 @@ def ensure_tables(
 
 
 def reset_tables(spark: SparkSession, database: str, tables: list[str] | None = None) -> DataFrame:
-    """Drop and recreate tables; the returned counts are all zero."""
+    """Drop and recreate tables; the returned counts are all zero.
+
+    Resetting the expenses also drops the snapshot made of them.
+    """
     names = tables or list(REGISTRY)
-    for table in names:
+    for table in [*names, *([SNAPSHOT_TABLE] if "expenses" in names else [])]:
         spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{table}`")
     return table_row_counts(spark, ensure_tables(spark, database, tables=names))

@@ -148,7 +148,9 @@ def test_ddl_append_and_reset(spark, live, tmp_path):
     log_sink.append_table(rows, "changelake_ddl.expenses")
     log_sink.append_table(rows, "changelake_ddl.expenses")
     assert spark.table("changelake_ddl.expenses").count() == 8
+    snapshot.materialize_snapshot(live, f"changelake_ddl.{ddl.SNAPSHOT_TABLE}", "t1")
     assert [r.row_count for r in ddl.reset_tables(spark, "changelake_ddl", ["expenses", "order"]).collect()] == [0, 0]
+    assert not spark.catalog.tableExists(f"changelake_ddl.{ddl.SNAPSHOT_TABLE}")
     assert any(r[0] == "spark_catalog" for r in catalog.list_catalogs(spark).collect())
     assert any(r[0] == "changelake_ddl" for r in catalog.list_databases(spark).collect())
 
