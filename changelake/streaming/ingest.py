@@ -3,7 +3,8 @@
 Micro-batch ``b`` becomes commit ``b + 1``.  Rows are written first and the
 commit is listed last; a batch that fails is replayed by Spark from its
 checkpoint and replaces what it had written.  Keep the checkpoint with the log
-it feeds: commit numbers continue from it.
+it feeds: commit numbers continue from it, and a query that would start below
+the newest commit is refused.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from changelake.operators.shaping import typed_rows
 from changelake.schemas import META_COLUMNS, REGISTRY
 from changelake.sinks.archive import write_archive
 from changelake.sinks.log import append_log, append_side, write_commit
+from changelake.sources.lake import read_commits
 
 OTHER = "_other"
 
@@ -63,6 +65,18 @@ def write_batch(
     return counts
 
 
+def refuse_old_commit(batch: DataFrame, base: str, commit_id: int) -> None:
+    """Stop a query whose checkpoint is older than the log.
+
+    Only the newest commit can be a replay.  An older number means that the
+    checkpoint was lost or belongs to another log; writing it would replace
+    rows that are already committed.
+    """
+    newest = read_commits(batch.sparkSession, base).agg(F.max("commit_id").alias("newest")).first()["newest"]
+    if newest is not None and commit_id < newest:
+        raise ValueError(f"the checkpoint continues at commit {commit_id}, the log already has {newest}")
+
+
 def run_to_log(
     stream: DataFrame,
     base: str,
@@ -77,8 +91,13 @@ def run_to_log(
     a batch every minute.
     """
     chosen = trigger or {"processingTime": f"{BATCH_SECONDS} seconds"}
+    started = False
 
     def land(batch: DataFrame, batch_id: int) -> None:
+        nonlocal started
+        if not started:
+            refuse_old_commit(batch, base, batch_id + 1)
+            started = True
         write_batch(batch, base, batch_id + 1, ingest_ts, archive)
 
     return (

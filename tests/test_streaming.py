@@ -155,3 +155,13 @@ def test_archive_beside_the_log(spark, landing, tmp_path):
 def test_pending_messages():
     assert stats.pending({"sources": [{"metrics": {"maxOffsetsBehindLatest": "7"}}, {"metrics": {}}]}) == 7
     assert stats.pending({"sources": [{}]}) is None
+
+
+def test_a_lost_checkpoint_is_refused(spark, landing, tmp_path):
+    base = str(tmp_path / "lake")
+    land(landing, 0, 1, 2)
+    start(spark, landing, base)
+    before = log_keys(spark, base)
+    with pytest.raises(StreamingQueryException):
+        start(spark, landing, base, checkpoint=str(tmp_path / "new-checkpoint"))
+    assert log_keys(spark, base) == before
