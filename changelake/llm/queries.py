@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from changelake.llm import line_dedup, order_minhash, packing, quality_classifier, quality_rules, sentence_pieces, warc
+from changelake.llm import line_dedup, near_dedup, order_minhash, packing, ppm, quality_classifier, quality_rules, sentence_pieces, suffix_dedup, warc
 from changelake.llm.common import fold_of, read, whole
 from changelake.workdir import fresh
 from pyspark.sql import DataFrame, SparkSession
@@ -88,6 +88,13 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM g"""
 
 
+def op4_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log probability, learnt from nine folds of ten."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = ppm.score(docs, docs.filter(fold_of("doc_id", 10) != 0))
+    return scored.select("doc_id", (fold_of("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint against its edited text's and its neighbour's."""
     found = order_minhash.beside_next(read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -97,6 +104,23 @@ def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component of near copies, over four-word shingles."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup.mark(docs, words=4, percent=80)
+
+
+OP6_SQL = """WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, UNNEST(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [w] ELSE list_transform(range(1, len(w) - 2), lambda i: w[i:i + 3]) END) AS sh FROM t),
+n AS (SELECT doc_id, COUNT(*) AS n FROM s GROUP BY doc_id),
+links AS (SELECT a.doc_id AS x, b.doc_id AS y FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * COUNT(*) >= 80 * (na.n + nb.n - COUNT(*))),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.other),
+c AS (SELECT doc_id, MIN(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT c.doc_id, COALESCE(n.n, 0) AS n_shingles, component_id, c.doc_id = component_id AS kept FROM c LEFT JOIN n ON n.doc_id = c.doc_id"""
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its packed place."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -104,6 +128,13 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(made.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), CAPACITY)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses to strings of 50 bytes that smaller ids have."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffix_dedup.dedup(docs, as_bytes=True)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of the text they decode to."""
     path = tokenizer_path(PIECE_MODEL)
@@ -131,12 +162,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_warc": op1_warc,
         "op2_line_dedup": op2_line_dedup,
         "op3_quality_rules": op3_quality_rules,
+        "op4_ppm": op4_ppm,
         "op5_order_minhash": op5_order_minhash,
+        "op6_near_dedup": op6_near_dedup,
         "op7_packing": op7_packing,
+        "op8_suffix_dedup": op8_suffix_dedup,
         "op9_sentence_pieces": op9_sentence_pieces,
         "op10_quality_classifier": op10_quality_classifier,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1_SQL, "op2_line_dedup": OP2_SQL, "op3_quality_rules": OP3_SQL}
+    return {"op1_warc": OP1_SQL, "op2_line_dedup": OP2_SQL, "op3_quality_rules": OP3_SQL, "op6_near_dedup": OP6_SQL}
