@@ -42,7 +42,7 @@ SHARE = 2_000_000
 TOKEN_SHARE = 500_000
 START, END = 0xFE, 0xFF  # bytes that UTF-8 never holds
 SYMBOLS = 256
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 _PAD = bytes([START]) * 8
 
 
