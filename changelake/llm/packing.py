@@ -33,29 +33,74 @@ from pyspark.sql import types as T
 PIECES = 40_000  # mean of a partition
 ROUNDS = 4
 CACHED_WORDS = 500_000  # per worker
+WORDS_AT_ONCE = 20_000
+MARKS = {b".", b",", b";", b":", b"!", b"?"}
 ROWS_AT_ONCE = 500
 END = np.zeros(1, dtype="<u4").tobytes()
 
 
 class WordIds:
-    """Ids of a tokenizer that never joins text across a space; words recur, so they are kept."""
+    """Ids of a tokenizer that never joins text across a space; words recur, so they are kept.
+
+    The tokenizer lower-cases, so words are kept in ASCII lower case.  Words of letters
+    only go to the library many at a time: each ends in one word-end id, where the
+    answer is cut.  A single mark after letters is a word of its own.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        for piece, i in vocabulary.items():
+            self.ends[i] = piece.endswith("</w>")
+        self.words: dict[bytes, bytes] = {}
+
+    def _one_by_one(self, words: list[bytes]) -> None:
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        for word, ids in zip(words, found):
+            self.words[word] = np.array(ids.ids, dtype="<u4").tobytes()
+
+    def _letters(self, words: list[bytes]) -> None:
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            some = words[at : at + WORDS_AT_ONCE]
+            ids = self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids
+            ids = np.array(ids, dtype="<u4")
+            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(cuts) != len(some) or cuts[-1] != len(ids):
+                self._one_by_one(some)  # letters that the library does not take for such
+                continue
+            packed, first = ids.tobytes(), 0
+            for word, cut in zip(some, cuts):
+                self.words[word] = packed[4 * first : 4 * cut]
+                first = cut
+
+    def _learn(self, missing: list[bytes]) -> None:
+        letters, marked, others = set(), [], []
+        for word in missing:
+            if word.decode().isalpha():
+                letters.add(word)
+            elif word[-1:] in MARKS and word[:-1].decode().isalpha():
+                marked.append(word)
+                if word[:-1] not in self.words:
+                    letters.add(word[:-1])
+            else:
+                others.append(word)
+        self._letters(list(letters))
+        self._one_by_one(others + [m for m in MARKS if m not in self.words])
+        for word in marked:
+            self.words[word] = self.words[word[:-1]] + self.words[word[-1:]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        lists = [t.replace("\n", " ").split(" ") for t in texts]
-        need = set().union(*lists) if lists else set()
+        lists = [t.encode("utf-8", "replace").lower().replace(b"\n", b" ").split(b" ") for t in texts]
+        need = set().union(*lists)
         missing = [w for w in need if w not in self.words]
         if len(self.words) + len(missing) > CACHED_WORDS:
             self.words.clear()
             missing = list(need)
-        for word, found in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
-            self.words[word] = np.array(found.ids, dtype="<u4").tobytes()
+        self._learn(missing)
         get = self.words.__getitem__
         return [b"".join(map(get, words)) for words in lists]
 
