@@ -18,6 +18,7 @@ pieces twice, each packed on its own; an empty table gives an empty result.
 from __future__ import annotations
 
 import os
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +40,13 @@ ROWS_AT_ONCE = 500
 END = np.zeros(1, dtype="<u4").tobytes()
 
 
+def _only_letters(word: bytes) -> bool:
+    """Whether a word is letters, and still is after the tokenizer's normalization."""
+    if word.isascii():
+        return word.isalpha()
+    return unicodedata.normalize("NFC", word.decode()).lower().isalpha()
+
+
 class WordIds:
     """Ids of a tokenizer that never joins text across a space; words recur, so they are kept.
 
@@ -80,9 +88,9 @@ class WordIds:
     def _learn(self, missing: list[bytes]) -> None:
         letters, marked, others = set(), [], []
         for word in missing:
-            if word.decode().isalpha():
+            if _only_letters(word):
                 letters.add(word)
-            elif word[-1:] in MARKS and word[:-1].decode().isalpha():
+            elif word[-1:] in MARKS and _only_letters(word[:-1]):
                 marked.append(word)
                 if word[:-1] not in self.words:
                     letters.add(word[:-1])
