@@ -108,4 +108,6 @@ def judge(df: DataFrame, text: str = "text", order: list[str] | None = None) ->
     for name in order[1:]:
         kept = kept.when(conditions[name], False)
     rows = with_figures(df.drop("base_failed", "kept"), text)
-    return rows.withColumns({"base_failed": base_failed(), "kept": kept.otherwise(True)}).drop("__words")
+    rows = rows.withColumns({"base_failed": base_failed(), "__kept": kept.otherwise(True)})
+    # A filter on the verdict stops at the generator; pushed on, it would repeat every figure's expression.
+    return rows.withColumn("kept", F.explode(F.array("__kept"))).drop("__words", "__kept")
