@@ -70,14 +70,13 @@ def rules(text: str = "text") -> dict[str, Column]:
     """Rejecting conditions; the figures are at hand, the rest reads the text."""
     body = whole(text)
     n = F.col("n_words")
-    share = lambda pattern: F.regexp_count(body, F.lit(pattern)) / n
     letters = F.regexp_count(body, F.lit(r"\p{L}"))
     return {
         "base": base_failed(),
         "symbols": F.col("n_symbols") > 0.3 * n,
         "word_length": ~F.col("word_chars").between(2 * n, 20 * n),
         "repeated_lines": F.col("n_dup_lines") > 0.5 * F.size(F.split(body, "\n", -1)),
-        "exclamations": share(r"!(?=[ \t\n\x0B\f\r]|$)") > 0.3,
+        "exclamations": F.regexp_count(body, F.lit(r"!(?=[ \t\n\x0B\f\r]|$)")) > 0.3 * n,
         "capitals": F.regexp_count(body, F.lit(r"\p{Lu}")) > 0.6 * letters,
         "letters": letters < 0.5 * F.col("word_chars"),
         "few_distinct_words": (n >= 50) & (F.size(F.array_distinct("__words")) < 0.1 * n),
