@@ -185,7 +185,8 @@ def classify(events: DataFrame, ingest_ts: Column | str | None = None) -> DataFr
         kind.alias("kind"),
         F.col("reason"),
         *[F.col(c) for c in META_COLUMNS],
-        event_time(time).alias("cdc_ts"),
+        # A time nobody can read gives way to the ingest time, as a missing one does.
+        F.coalesce(event_time(time), event_time(_ingest_text(ingest_ts))).alias("cdc_ts"),
         event_seq(time).alias("cdc_seq"),
         row,
         F.col("resolved"),

@@ -79,10 +79,11 @@ def spending_by(df: DataFrame, key: str, exclude: tuple[str, ...] = (DELETE,), n
 def share_of_total(df: DataFrame, value: str, alias: str = "share_pct") -> DataFrame:
     """Add each row's percentage of the column total.
 
-    The total is a one-row subquery; no row passes through a single task.
+    The total is a one-row subquery; no row passes through a single task.  Shares of
+    a zero total are null.
     """
     whole = df.agg(F.sum(value).alias("whole")).scalar()
-    return df.withColumn(alias, F.lit(100.0) * F.col(value).cast("double") / whole.cast("double"))
+    return df.withColumn(alias, F.try_divide(F.lit(100.0) * F.col(value).cast("double"), whole.cast("double")))
 
 
 def category_share(log: DataFrame) -> DataFrame:

@@ -224,28 +224,23 @@ def event_view(events: DataFrame) -> DataFrame:
     )
 
 
-def generated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The demonstration set, one unit per hundred orders."""
-    orders = X.table(spark, sf_dir, "orders").count()
-    rows = series.generate_expenses(spark, max(1, orders // 100), as_of="2024-06-01")
-    return state_view(rows).drop("expense_id", "user_id")
+def channel_by_turn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per channel, picked from a list by the key."""
+    channels = F.array(F.lit("card"), F.lit("cash"), F.lit("phone"))
+    pick = F.element_at(channels, (F.col("o_orderkey") % 3 + 1).cast("int"))
+    return X.table(spark, sf_dir, "orders").groupBy(pick.alias("channel")).agg(F.count("*").alias("orders"))
 
 
-def _generated_oracle() -> str:
-    parts = []
-    for category, rows, text, merchants, amount, methods, step in series.TEMPLATES:
+def days_before_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per day that lies up to 89 days before their date."""
+    day = F.date_sub(F.col("o_orderdate").cast("date"), (F.col("o_orderkey") % 90).cast("int"))
+    return X.table(spark, sf_dir, "orders").groupBy(day.alias("day")).agg(F.count("*").alias("orders"))
 
-        def pick(values):
-            quoted = ", ".join("'" + v + "'" for v in values)
-            return f"([{quoted}])[g % {len(values)} + 1]"
 
-        parts.append(
-            f"""SELECT CONCAT('{text}', CAST(g AS VARCHAR)) AS description, {pick(merchants)} AS merchant,
-CAST(ROUND(CAST({amount} AS DECIMAL(20,4)), 2) AS DOUBLE) AS expense_amount, CAST(CAST(DATE '2024-06-01' - CAST(g % 90 AS INTEGER) AS DATE) AS VARCHAR) AS expense_date,
-'{category}' AS shopping_type, {pick(methods)} AS payment_method, {f'(g % {step} = 0)' if step else 'FALSE'} AS recurring
-FROM (SELECT UNNEST(generate_series(1, {rows} * (SELECT GREATEST(1, COUNT(*) // 100) FROM orders))) AS g) s"""
-        )
-    return " UNION ALL ".join(parts)
+def fresh_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Random keys for all orders: how many differ, and how many are missing."""
+    keys = X.table(spark, sf_dir, "orders").select(F.expr("uuid()").alias("key"))
+    return keys.agg(F.countDistinct("key").alias("distinct_keys"), F.count_if(F.col("key").isNull()).alias("missing_keys"))
 
 
 def register(c: Catalogue) -> None:
@@ -385,7 +380,13 @@ FROM (SELECT *, expense_id IN ({newest}) AS hit FROM live) t"""),
         lambda s, d: state_view(one_inserted(X.live(s, d))[0]),
         sql(f"""SELECT {IMAGE} FROM live UNION ALL SELECT 'new-1', (SELECT MIN(user_id) FROM live), 'Trip', 'Demo Merchant', 99.99, '2024-06-01', 'Travel', 'Credit Card', FALSE"""),
     )
-    c.add("generated_rows", generated, _generated_oracle())
+    c.add("channel_by_turn", channel_by_turn, "SELECT (['card', 'cash', 'phone'])[o_orderkey % 3 + 1] AS channel, COUNT(*) AS orders FROM orders GROUP BY 1")
+    c.add(
+        "days_before_order",
+        days_before_order,
+        "SELECT CAST(CAST(o_orderdate AS DATE) - CAST(o_orderkey % 90 AS INTEGER) AS DATE) AS day, COUNT(*) AS orders FROM orders GROUP BY 1",
+    )
+    c.add("fresh_keys", fresh_keys, "SELECT COUNT(*) AS distinct_keys, CAST(0 AS BIGINT) AS missing_keys FROM orders")
     counts = " UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM t_{t}" for t in ORDER_ENTRY_MEMBERS)
     c.add("tpcc_table_row_counts", lambda s, d: catalog.named_row_counts(**X.order_entry(s, d)), order_sql(counts))
     assert set(ORDER_ENTRY_MEMBERS) == set(REGISTRY) - {"expenses"}

@@ -113,12 +113,14 @@ def run_available(
     base: str,
     checkpoint: str | None = None,
     ingest_ts: str | None = None,
-    timeout: int = 3600,
+    timeout: int | None = None,
     archive: str | None = None,
 ) -> StreamingQuery:
-    """Land everything that is there now, then stop."""
+    """Land everything that is there now, then stop; ``timeout`` (seconds) is off unless given."""
     query = run_to_log(stream, base, checkpoint, {"availableNow": True}, ingest_ts, archive)
-    if not query.awaitTermination(timeout):
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"the feed was not landed within {timeout} s")
     return query

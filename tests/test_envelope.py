@@ -175,7 +175,7 @@ def test_duplicates_and_equal_times_all_stay(spark):
         ("800000000000000000.0000000000", datetime(1995, 5, 9, 6, 13, 20), 0),
         ("1700000000000", datetime(2023, 11, 14, 22, 13, 20), 0),
         ("2023-11-14T22:13:20+00:00", datetime(2023, 11, 14, 22, 13, 20), 0),
-        ("not a time", None, 0),
+        ("not a time", datetime.fromisoformat(INGEST.replace("Z", "")), 0),  # the ingest time stands in
     ],
 )
 def test_event_time(spark, text, ts, seq):
@@ -241,3 +241,14 @@ def test_a_mixed_feed_is_routed(spark):
     routed = T.route(mixed.rows, ["expenses", "warehouse", "item", "stock"])
     assert {t: df.count() for t, df in routed.items()} == {"expenses": 1, "warehouse": 1, "item": 1, "stock": 0}
     assert routed["item"].first().i_price == ""
+
+
+def test_times_beyond_all_calendars_never_fail_a_batch(spark):
+    from changelake.functions.event_time import event_seq, event_time
+    from pyspark.sql import functions as F
+
+    texts = ["1700000000000000000", "-9" * 9, "1700000000000000000.9223372036854775807", "-9223372036854775808.1", "9" * 30, "9" * 30 + ".1", "later", "1700000000000"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", event_time(F.col("t")).alias("ts"), event_seq(F.col("t")).alias("seq")).collect()
+    found = {r.t: r for r in rows}
+    assert found[texts[0]].ts is None and found[texts[4]].ts is None and found["later"].ts is None
+    assert found[texts[2]].ts is not None and found["1700000000000"].ts is not None
