@@ -175,7 +175,7 @@ def test_duplicates_and_equal_times_all_stay(spark):
         ("800000000000000000.0000000000", datetime(1995, 5, 9, 6, 13, 20), 0),
         ("1700000000000", datetime(2023, 11, 14, 22, 13, 20), 0),
         ("2023-11-14T22:13:20+00:00", datetime(2023, 11, 14, 22, 13, 20), 0),
-        ("not a time", datetime.fromisoformat(INGEST.replace("Z", "")), 0),  # the ingest time stands in
+        ("not a time", datetime(2024, 6, 1), 0),  # the ingest time stands in
     ],
 )
 def test_event_time(spark, text, ts, seq):
