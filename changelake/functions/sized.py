@@ -3,35 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-BROADCAST_ROWS = 100_000
 
 
 def top_k(df: DataFrame, k: int | None, *order: Column) -> DataFrame:
-    """First ``k`` rows of an order (all of them, sorted, for ``None``)."""
-    out = df.orderBy(*order)
-    return out if k is None else out.limit(k)
+    """First ``k`` rows of an order (all of them, sorted, for ``None``).
 
-
-def broadcast_if_small(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """Broadcast hint only where a row bound proves the side small.
-
-    Beyond the bound the join is left to Catalyst and AQE (sort-merge with skew
-    splitting), so the hint never grows with the data.
+    Catalyst derives the bytes of a limit from its rows, so a join with a small top-k
+    is broadcast by the session's own threshold and needs no hint.
     """
-    if max_rows is not None and max_rows <= BROADCAST_ROWS:
-        return F.broadcast(df)
-    return df
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give heavy per-row work at least one task per core.
-
-    A scan of a few small files has fewer tasks than cores; only then are its
-    rows dealt out evenly.  A scan with enough tasks is returned unchanged, so
-    large inputs are never shuffled by this.  ``df`` must be a scan with narrow
-    steps only: its task count is read off the plan without running anything.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    out = df.orderBy(*order)
+    return out if k is None else out.limit(k)

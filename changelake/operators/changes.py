@@ -1,7 +1,7 @@
 """Row changes on a live table, as DataFrames: the new table and its events.
 
-The picked keys are at most ``max_rows`` many, which is what allows marking
-them with a broadcast; without that bound the join is left to Catalyst.
+The picked keys are usually a top-k, whose size Catalyst knows: the live table is
+then marked by a broadcast join; other keys meet it in a shuffled one.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changelake.functions.sized import broadcast_if_small, top_k
+from changelake.functions.sized import top_k
 from changelake.schemas import DELETE, INSERT, UPDATE
 
 KEY = "expense_id"
@@ -21,9 +21,9 @@ def pick_top(live: DataFrame, k: int, *order: Column, where: Column | None = Non
     return top_k(rows, k, *order).select(KEY)
 
 
-def _marked(live: DataFrame, pick: DataFrame, max_rows: int | None) -> DataFrame:
+def _marked(live: DataFrame, pick: DataFrame) -> DataFrame:
     hits = pick.select(KEY).withColumn("_hit", F.lit(True))
-    return live.join(broadcast_if_small(hits, max_rows), KEY, "left").withColumn("_hit", F.coalesce("_hit", F.lit(False)))
+    return live.join(hits, KEY, "left").withColumn("_hit", F.coalesce("_hit", F.lit(False)))
 
 
 def _event(op: str, before: Column | None, after: Column | None, schema) -> list[Column]:
@@ -39,12 +39,10 @@ def _image(columns: list[str]) -> Column:
     return F.struct(*columns)
 
 
-def apply_update(
-    live: DataFrame, pick: DataFrame, assignments: dict[str, Column], max_rows: int | None = None
-) -> tuple[DataFrame, DataFrame]:
+def apply_update(live: DataFrame, pick: DataFrame, assignments: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
     """Assign columns of the picked rows; values are cast back to the column types."""
     columns, schema = live.columns, live.schema
-    marked = _marked(live, pick, max_rows)
+    marked = _marked(live, pick)
     changed = {c: v.cast(schema[c].dataType) for c, v in assignments.items()}
     new = marked.select(
         *[F.when(F.col("_hit"), changed[c]).otherwise(F.col(c)).alias(c) if c in changed else F.col(c) for c in columns]
@@ -54,9 +52,9 @@ def apply_update(
     return new, events
 
 
-def apply_delete(live: DataFrame, pick: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+def apply_delete(live: DataFrame, pick: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Remove the picked rows."""
-    keys = broadcast_if_small(pick.select(KEY), max_rows)
+    keys = pick.select(KEY)
     new = live.join(keys, KEY, "left_anti").select(*live.columns)
     gone = live.join(keys, KEY, "left_semi").select(*live.columns)
     return new, gone.select(*_event(DELETE, _image(live.columns), None, live.schema))

@@ -1,7 +1,8 @@
 """Change events in any envelope -> one change log.
 
 A feed is a DataFrame with a text column ``value`` (one JSON body per row) and,
-optionally, a text column ``feed`` naming where it came from.  Everything here
+optionally, a text column ``feed`` naming where it came from and a timestamp
+``received_at`` of its arrival, which stands in for change times that are missing.  Everything here
 is a narrow projection: bodies are parsed once into VARIANT, unpacked with
 ``explode`` and classified; nothing is shuffled.
 
@@ -38,6 +39,8 @@ TABLE_MEMBER = "__table__"
 
 DATA, PROGRESS, DEAD = "data", "progress", "dead"
 
+TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
 ROW_COLUMNS = ("feed", *META_COLUMNS, "cdc_ts", "cdc_seq", "row")
 
 
@@ -62,6 +65,7 @@ def unpack(raw: DataFrame) -> DataFrame:
     batch would be copied into every event taken from it.
     """
     feed = F.col("feed") if "feed" in raw.columns else F.lit("default")
+    arrived = F.date_format("received_at", TIME_FORMAT) if "received_at" in raw.columns else F.lit(None).cast("string")
     body = F.col("_body")
 
     def events_of(v: Column) -> Column:
@@ -69,14 +73,15 @@ def unpack(raw: DataFrame) -> DataFrame:
 
     listed = F.transform(F.try_variant_get(body, "$", "array<variant>"), events_of)
     return (
-        raw.select(feed.alias("feed"), "value", F.try_parse_json("value").alias("_body"))
+        raw.select(feed.alias("feed"), arrived.alias("arrived"), "value", F.try_parse_json("value").alias("_body"))
         .select(
             "feed",
+            "arrived",
             "_body",
             F.when(body.isNull(), F.col("value")).alias("bad_text"),
             field(body, TABLE_MEMBER, "string").alias("batch_table"),
         )
-        .select("feed", "bad_text", "batch_table", F.explode(F.coalesce(F.flatten(listed), events_of(body))).alias("event"))
+        .select("feed", "arrived", "bad_text", "batch_table", F.explode(F.coalesce(F.flatten(listed), events_of(body))).alias("event"))
     )
 
 
@@ -153,6 +158,7 @@ def classify(events: DataFrame, ingest_ts: Column | str | None = None) -> DataFr
     described = _at_once(
         opened.withColumn("code", field(envelope, "op", "string")),
         F.col("feed"),
+        F.coalesce(_given(ingest_ts), F.col("arrived"), F.date_format(F.current_timestamp(), TIME_FORMAT)).alias("ingest_text"),
         F.col("bad_text"),
         event,
         F.when(bare & (size == 1), field(event, "resolved", "string")).alias("resolved"),
@@ -164,6 +170,7 @@ def classify(events: DataFrame, ingest_ts: Column | str | None = None) -> DataFr
     )
     judged = described.select(
         "feed",
+        "ingest_text",
         "bad_text",
         "event",
         "resolved",
@@ -171,7 +178,7 @@ def classify(events: DataFrame, ingest_ts: Column | str | None = None) -> DataFr
         "cdc_operation",
         "row",
         F.coalesce("named_table", detect_table(row)).alias("cdc_table"),
-        F.coalesce(F.nullif("own_time", F.lit("")), _ingest_text(ingest_ts)).alias("cdc_timestamp"),
+        F.coalesce(F.nullif("own_time", F.lit("")), "ingest_text").alias("cdc_timestamp"),
     ).withColumn("reason", F.coalesce("reason", _uncastable()))
     kind = (
         F.when(F.col("resolved").isNotNull(), F.lit(PROGRESS))
@@ -186,7 +193,7 @@ def classify(events: DataFrame, ingest_ts: Column | str | None = None) -> DataFr
         F.col("reason"),
         *[F.col(c) for c in META_COLUMNS],
         # A time nobody can read gives way to the ingest time, as a missing one does.
-        F.coalesce(event_time(time), event_time(_ingest_text(ingest_ts))).alias("cdc_ts"),
+        F.coalesce(event_time(time), event_time(F.col("ingest_text"))).alias("cdc_ts"),
         event_seq(time).alias("cdc_seq"),
         row,
         F.col("resolved"),
@@ -194,11 +201,9 @@ def classify(events: DataFrame, ingest_ts: Column | str | None = None) -> DataFr
     )
 
 
-def _ingest_text(ingest_ts: Column | str | None) -> Column:
-    """Fallback change time: given by the caller, else the start of the query."""
-    if ingest_ts is None:
-        return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-    return F.lit(ingest_ts) if isinstance(ingest_ts, str) else ingest_ts
+def _given(ingest_ts: Column | str | None) -> Column:
+    """The caller's fallback change time; without it the body's arrival, then the query's start, stands in."""
+    return ingest_ts if isinstance(ingest_ts, Column) else F.lit(ingest_ts).cast("string")
 
 
 def _uncastable() -> Column:
@@ -235,12 +240,22 @@ def normalize(raw: DataFrame, ingest_ts: Column | str | None = None) -> Normaliz
     return split(classify(unpack(raw), ingest_ts))
 
 
+def normalize_once(raw: DataFrame, path: str, ingest_ts: Column | str | None = None) -> Normalized:
+    """The same, stored at ``path`` first: outcomes that are used several times are parsed once."""
+    classify(unpack(raw), ingest_ts).write.parquet(path)
+    return split(raw.sparkSession.read.parquet(path))
+
+
 def progress(markers: DataFrame) -> DataFrame:
     """How far each feed is resolved."""
     return markers.groupBy("feed").agg(F.max("resolved_ts").alias("resolved_ts"))
 
 
 def consistent_cut(rows: DataFrame, markers: DataFrame) -> DataFrame:
-    """Rows no later than what their feed has resolved."""
-    joined = rows.join(progress(markers), "feed")
-    return joined.filter(F.col("cdc_ts") <= F.col("resolved_ts")).select(*rows.columns)
+    """Rows no later than what their feed has resolved.
+
+    The feeds' times, one per feed, are one map value; rows are not shuffled.
+    """
+    known = progress(markers).filter(F.col("feed").isNotNull())
+    resolved = known.agg(F.map_from_entries(F.collect_list(F.struct("feed", "resolved_ts"))).alias("resolved")).scalar()
+    return rows.filter(F.col("cdc_ts") <= F.try_element_at(resolved, F.col("feed")))

@@ -13,14 +13,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changelake.functions.sized import broadcast_if_small, top_k
+from changelake.functions.sized import top_k
 from changelake.operators.reports import amount, rows, shown, total
 from changelake.schemas import DELETE, INSERT, SNAPSHOT, UPDATE
 
 KEY = "expense_id"
 
-SUBQUERY_ROWS = 1_000
-
 
 def source_counts(**sources: DataFrame) -> DataFrame:
     """Row count of each named table."""
@@ -108,8 +106,7 @@ def full_lifecycle(log: DataFrame, live: DataFrame, snap: DataFrame, n: int = 20
 
     The order depends on the log alone, so the ``n`` rows are taken first.  They
     travel as one subquery value that is computed once and used three times: as
-    the rows to complete and as the filter on the live and snapshot scans.  Past
-    the size bound the rows are joined instead.
+    the rows to complete and as the keys that the live and snapshot rows must have.
     """
     per_key = log.groupBy(KEY, "merchant").agg(
         F.count("cdc_operation").alias("total_cdc_events"),
@@ -119,12 +116,9 @@ def full_lifecycle(log: DataFrame, live: DataFrame, snap: DataFrame, n: int = 20
     picked = top_k(per_key, n, F.desc("total_cdc_events"), F.col(KEY), F.col("merchant"))
     now = live.select(KEY, F.col("merchant").alias("_merchant"), shown(amount()).alias("live_amount"), F.lit(True).alias("_live"))
     then = latest_generation(snap).select(KEY, shown(amount()).alias("snapshot_amount"))
-    if n <= SUBQUERY_ROWS:
-        value = F.struct(F.collect_list(KEY).alias("keys"), F.collect_list(F.struct(*picked.columns)).alias("rows"))
-        found = picked.agg(value.alias("found")).scalar()
-        picked = log.sparkSession.range(1).select(F.inline(found["rows"]))
-        wanted = F.array_contains(found["keys"], F.col(KEY))
-        now, then = (broadcast_if_small(df.filter(wanted), n) for df in (now, then))
+    found = picked.agg(F.collect_list(F.struct(*picked.columns)).alias("rows")).scalar()
+    picked = log.sparkSession.range(1).select(F.inline(found))
+    now, then = (df.join(picked.select(KEY), KEY, "left_semi") for df in (now, then))
     return (
         picked.join(now, KEY, "left")
         .join(then, KEY, "left")

@@ -11,17 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changelake.functions.rows import present
+from changelake.functions.rows import members, present
 from changelake.operators.envelope import TABLE_MEMBER
-from changelake.schemas import META_COLUMNS, REGISTRY, TableSpec, default_for
+from changelake.schemas import META_COLUMNS, REGISTRY, TableSpec, default_for, is_text_table
 
 TIME_COLUMNS = ("cdc_ts", "cdc_seq")
 
 
-def is_text_table(spec: TableSpec) -> bool:
-    return all(isinstance(f.dataType, T.StringType) for f in spec.columns.fields)
-
-
 def _value(spec: TableSpec, f: T.StructField) -> Column:
     value = F.col(f"_row.{f.name}")
     default = F.lit(default_for(f.dataType)).cast(f.dataType)
@@ -39,7 +35,17 @@ def typed_rows(rows: DataFrame, table: str) -> DataFrame:
         "_row", F.try_variant_get("row", "$", spec.columns.simpleString())
     )
     carried = [c for c in ("feed",) if c in rows.columns]
-    return opened.select(*[_value(spec, f) for f in spec.columns.fields], *META_COLUMNS, *TIME_COLUMNS, *carried)
+    return opened.select(*[_value(spec, f) for f in spec.columns.fields], *META_COLUMNS, *TIME_COLUMNS, *_rest(spec), *carried)
+
+
+def _rest(spec: TableSpec) -> list[Column]:
+    """Members of an all-text table that the registry does not list, as a map."""
+    return [_text_map(TABLE_MEMBER, *spec.columns.fieldNames()).alias("rest")] if is_text_table(spec) else []
+
+
+def _text_map(*without: str) -> Column:
+    texts = F.transform_values(F.try_variant_get("row", "$", "map<string,string>"), lambda _, v: F.coalesce(v, F.lit("")))
+    return F.map_filter(texts, lambda name, _: ~name.isin(*without))
 
 
 def route(rows: DataFrame, tables: list[str] | None = None) -> dict[str, DataFrame]:
@@ -49,11 +55,7 @@ def route(rows: DataFrame, tables: list[str] | None = None) -> dict[str, DataFra
 
 def text_map_rows(rows: DataFrame) -> DataFrame:
     """Rows of any table, every member as text in one map column."""
-    members = F.try_variant_get("row", "$", "map<string,string>")
-    texts = F.transform_values(members, lambda _, v: F.coalesce(v, F.lit("")))
-    return rows.select(
-        F.map_filter(texts, lambda name, _: name != TABLE_MEMBER).alias("members"), *META_COLUMNS, *TIME_COLUMNS
-    )
+    return rows.select(_text_map(TABLE_MEMBER).alias("members"), *META_COLUMNS, *TIME_COLUMNS)
 
 
 def all_strings(df: DataFrame) -> DataFrame:
@@ -69,25 +71,23 @@ def fill_defaults(df: DataFrame, table: str) -> DataFrame:
     )
 
 
-def _column_type(t: T.DataType) -> T.DataType:
+def _column_type(name: str) -> T.DataType:
     """Inferred member type -> column type: flag, whole number, number or text."""
-    if isinstance(t, (T.BooleanType, T.LongType)):
-        return t
-    if isinstance(t, (T.DecimalType, T.DoubleType, T.FloatType)):
-        return T.LongType() if isinstance(t, T.DecimalType) and t.scale == 0 else T.DoubleType()
-    return T.StringType()
+    if name == "BOOLEAN":
+        return T.BooleanType()
+    if name == "BIGINT" or name.startswith("DECIMAL") and name.endswith(",0)"):
+        return T.LongType()
+    return T.DoubleType() if name.startswith(("DECIMAL", "DOUBLE", "FLOAT")) else T.StringType()
 
 
 def infer_schema(rows: DataFrame) -> T.StructType:
     """Column types over all rows, widened where rows disagree.
 
-    One aggregate over the rows; only the merged type comes back.
+    One aggregate per member name; only the names and merged types come back.
     """
-    merged = rows.agg(F.schema_of_variant_agg("row").alias("s")).first()["s"]
-    if not merged or not merged.startswith("OBJECT<"):
-        return T.StructType([])
-    parsed = T.DataType.fromDDL(merged.replace("OBJECT<", "STRUCT<"))
-    return T.StructType([T.StructField(f.name, _column_type(f.dataType)) for f in parsed.fields if f.name != TABLE_MEMBER])
+    each = rows.select(F.explode(members(F.col("row"))).alias("name", "value")).filter(F.col("name") != TABLE_MEMBER)
+    merged = each.groupBy("name").agg(F.schema_of_variant_agg("value").alias("type")).orderBy("name").collect()
+    return T.StructType([T.StructField(r["name"], _column_type(r["type"])) for r in merged])
 
 
 def inferred_rows(rows: DataFrame, table: str) -> DataFrame:
@@ -98,6 +98,6 @@ def inferred_rows(rows: DataFrame, table: str) -> DataFrame:
     own = rows.filter(F.col("cdc_table") == table)
     columns = []
     for f in infer_schema(own).fields:
-        value = F.try_variant_get("row", f"$['{f.name}']", f.dataType.simpleString())
+        value = F.try_variant_get(F.try_element_at("_members", F.lit(f.name)), "$", f.dataType.simpleString())
         columns.append(F.coalesce(value, F.lit(default_for(f.dataType)).cast(f.dataType)).alias(f.name))
-    return own.select(*columns, *META_COLUMNS, *TIME_COLUMNS)
+    return own.withColumn("_members", members(F.col("row"))).select(*columns, *META_COLUMNS, *TIME_COLUMNS)

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changelake.functions.sized import spread
 from changelake.plans import fixtures as X
 from changelake.schemas import OPERATION_CODES, RAW_BEFORE, RAW_EVENT_TYPE, RAW_UPDATED
 
@@ -64,7 +63,7 @@ def coded_members(step: Column, op: Column, ts: Column) -> list[Column]:
 
 
 def _feed(df: DataFrame, value: Column, feed: Column | None = None) -> DataFrame:
-    return spread(df).select((feed if feed is not None else F.lit("fixture")).alias("feed"), value.alias("value"))
+    return X.spread(df).select((feed if feed is not None else F.lit("fixture")).alias("feed"), value.alias("value"))
 
 
 def pair_feed(spark: SparkSession, sf_dir: str, feed: Column | None = None) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from changelake import workdir
 from changelake.operators import envelope as N
 from changelake.operators import reports as R
 from changelake.operators import shaping as T
@@ -50,7 +51,7 @@ def dead_letters(raw: DataFrame) -> DataFrame:
 
 
 def cut_counts(raw: DataFrame) -> DataFrame:
-    found = N.normalize(raw, INGEST_TS)
+    found = N.normalize_once(raw, workdir.fresh(raw.sparkSession, "classified"), INGEST_TS)
     return N.consistent_cut(found.rows, found.progress).groupBy("feed", "cdc_operation").agg(R.rows().alias("event_count"))
 
 
@@ -138,7 +139,7 @@ CAST(0 AS DOUBLE) AS expense_amount, '' AS expense_date, '' AS shopping_type, ''
     )
     c.add(
         "text_table_rows",
-        lambda s, d: T.typed_rows(N.normalize(V.typed_order_feed(s, d), INGEST_TS).rows, "order").drop(*T.TIME_COLUMNS, "feed"),
+        lambda s, d: T.typed_rows(N.normalize(V.typed_order_feed(s, d), INGEST_TS).rows, "order").drop(*T.TIME_COLUMNS, "feed", "rest"),
         f"""SELECT CAST(o_orderkey AS VARCHAR) AS o_id, '' AS o_d_id, '' AS o_w_id, CAST(o_custkey AS VARCHAR) AS o_c_id,
 CONCAT('{{"code":"', o_orderstatus, '"}}') AS o_entry_d, '' AS o_carrier_id,
 CASE WHEN CAST(o_totalprice AS DECIMAL(12,2)) % 1 = 0 THEN CAST(CAST(o_totalprice AS BIGINT) AS VARCHAR)
@@ -155,7 +156,7 @@ CASE WHEN cdc_operation = 'snapshot' THEN 'insert' ELSE cdc_operation END AS cdc
     )
     c.add(
         "inferred_columns",
-        lambda s, d: T.inferred_rows(N.normalize(V.part_feed(s, d), INGEST_TS).rows, "part").drop(*T.TIME_COLUMNS),
+        lambda s, d: T.inferred_rows(N.normalize_once(V.part_feed(s, d), workdir.fresh(s, "classified"), INGEST_TS).rows, "part").drop(*T.TIME_COLUMNS),
         f"""SELECT p_partkey, p_name, CAST(p_size AS BIGINT) AS p_size, CASE WHEN p_partkey % 5 > 0 THEN p_brand ELSE '' END AS p_brand,
 CASE WHEN p_partkey % 2 = 0 THEN FLOOR(p_retailprice) ELSE p_retailprice END AS p_retailprice,
 'part' AS cdc_table, 'snapshot' AS cdc_operation, '{INGEST_TS}' AS cdc_timestamp FROM part""",

@@ -313,3 +313,9 @@ ORDER_ENTRY = {
 
 def order_entry(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
     return {n: ORDER_ENTRY[n](spark, sf_dir) for n in (names or ORDER_ENTRY)}
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a few small files to all cores before JSON is made of them."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

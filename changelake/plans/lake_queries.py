@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changelake import workdir
-from changelake.functions.sized import spread
 from changelake.operators import changes as C
 from changelake.operators import envelope as N
 from changelake.operators import reports as R
@@ -156,7 +155,7 @@ def snapshot_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_stream(spark: SparkSession, sf_dir: str) -> str:
     """Land the before/after feed as text files, one set per change number."""
     landing, base = workdir.fresh(spark, "landing"), workdir.fresh(spark, "stream")
-    feed = spread(X.changes(spark, sf_dir)).select("seq", EF.pair_event(F.col("seq"), X.change_time()).alias("value"))
+    feed = X.spread(X.changes(spark, sf_dir)).select("seq", EF.pair_event(F.col("seq"), X.change_time()).alias("value"))
     feed.write.partitionBy("seq").text(landing)
     files = catalog.list_output(spark, landing, n=1, pattern="*.txt").first()["total_files"]
     stream = event_files.stream_events(spark, landing, max_files=max(1, -(-files // 3)))
@@ -176,6 +175,79 @@ def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("total_events", claimed.alias("committed_events"), (F.col("total_flushes") > 1).alias("several_commits"))
 
 
+# -- a mixed feed, landed in two commits --------------------------------------------
+
+
+def mixed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One bare row per order, received on the first day of its year.
+
+    Rows of a registered all-text table, of a table nobody registered, and expenses.
+    """
+    kind = F.col("o_orderkey") % 3
+    orders = X.table(spark, sf_dir, "orders")
+    warehouse = F.struct(F.col("o_orderkey").alias("w_id"), F.col("o_orderstatus").alias("w_name"), F.col("o_orderpriority").alias("w_manager"))
+    misc = F.struct(F.lit("misc").alias("__table__"), F.col("o_orderkey").alias("k"))
+    category = F.when(F.col("o_orderkey") % 7 == 0, F.lit("")).otherwise(F.col("o_orderpriority"))
+    expense = F.struct(
+        F.col("o_orderkey").cast("string").alias("expense_id"), F.col("o_totalprice").cast("decimal(12,2)").alias("expense_amount"), category.alias("shopping_type")
+    )
+    value = F.when(kind == 0, F.to_json(warehouse)).when(kind == 1, F.to_json(misc)).otherwise(F.to_json(expense))
+    received = F.trunc(F.col("o_orderdate"), "year").cast("timestamp")
+    return orders.select("o_orderkey", value.alias("value"), received.alias("received_at"))
+
+
+def landed_mixed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Log and archive of the mixed feed; the second commit is delivered twice."""
+    base, filed = workdir.fresh(spark, "mixed"), workdir.fresh(spark, "mixed-archive")
+    feed = mixed_feed(spark, sf_dir)
+    for commit_id in (1, 2, 2):
+        half = feed.filter(F.col("o_orderkey") % 2 == commit_id - 1)
+        ingest.write_batch(half.select("value", "received_at"), base, commit_id, archive=filed)
+    return base, filed
+
+
+def filed_rows(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
+    base, filed = landed_mixed(spark, sf_dir)
+    return lake.read_archive(spark, filed, table, log=base).groupBy(*columns, "year", "month", "day").agg(R.rows().alias("row_count"))
+
+
+def named_view(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A view of the landed log, by its name."""
+    prefix = f"mixed_{uuid.uuid4().hex}_"
+    lake.register_log(spark, landed_mixed(spark, sf_dir)[0], prefix)
+    return spark.table(prefix + table)
+
+
+def odd_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change times in five spellings, two of which nobody can read."""
+    spelled = F.element_at(F.array(*map(F.lit, ODD_TIMES)), (F.col("o_orderkey") % len(ODD_TIMES) + 1).cast("int"))
+    body = F.to_json(F.struct(F.struct(F.col("o_orderkey").cast("string").alias("expense_id")).alias("after"), spelled.alias("updated")))
+    rows = N.normalize(X.table(spark, sf_dir, "orders").select(body.alias("value")), INGEST_TS).rows
+    return T.typed_rows(rows, "expenses").select("expense_id", F.col("cdc_ts").cast("timestamp_ntz").alias("cdc_ts"))
+
+
+ODD_TIMES = ("1700000000000000000", "later", "1700000000000", "1700000000000000000.99999999999999999999", "2023-11-14T22:13:20Z")
+
+
+def sample_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many sampled rows there are, all of them rows of the table."""
+    live = X.live(spark, sf_dir)
+    return R.sample_rows(live).join(live, live.columns, "left_semi").agg(R.rows().alias("sampled"))
+
+
+def listing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the listing has as many files as it may, all with bytes."""
+    listed = catalog.list_output(spark, archived(spark, sf_dir)[0])
+    return listed.agg(
+        (F.count("*") == F.least(F.lit(20), F.max("total_files"))).alias("all_listed"), (F.min("length") > 0).alias("all_have_bytes")
+    )
+
+
+def inventory_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = V.file_inventory(lake.read_log(spark, written_log(spark, sf_dir)), "commit_id", "shopping_type")
+    return files.groupBy("commit_id", "shopping_type").agg(F.sum("record_count").alias("record_count"), (F.min("file_bytes") > 0).alias("has_bytes"))
+
+
 # -- row changes ---------------------------------------------------------------
 
 CORRECTION = " (price correction)"
@@ -191,7 +263,7 @@ def corrected(live: DataFrame) -> tuple[DataFrame, DataFrame]:
         "expense_amount": F.col("expense_amount") * F.lit("1.15").cast("decimal(3,2)"),
         "description": F.concat("description", F.lit(CORRECTION)),
     }
-    return C.apply_update(live, top_amounts(live, 5), assignments, max_rows=5)
+    return C.apply_update(live, top_amounts(live, 5), assignments)
 
 
 def made_recurring(live: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -199,11 +271,11 @@ def made_recurring(live: DataFrame) -> tuple[DataFrame, DataFrame]:
     where = (F.col("shopping_type") == "5-LOW") & ~F.col("recurring")
     pick = C.pick_top(live, 25, F.desc("expense_date"), F.col(C.KEY), where=where)
     half = F.round(F.col("expense_amount") / 2, 2)
-    return C.apply_update(live, pick, {"recurring": F.lit(True), "expense_amount": half, "payment_method": F.lit("Apple Pay")}, max_rows=25)
+    return C.apply_update(live, pick, {"recurring": F.lit(True), "expense_amount": half, "payment_method": F.lit("Apple Pay")})
 
 
 def smallest_removed(live: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return C.apply_delete(live, C.pick_top(live, 3, F.col("expense_amount"), F.col(C.KEY)), max_rows=3)
+    return C.apply_delete(live, C.pick_top(live, 3, F.col("expense_amount"), F.col(C.KEY)))
 
 
 def one_inserted(live: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -304,6 +376,50 @@ CASE WHEN commit_id = 1 THEN '2024-01-01' ELSE '2024-01-02' END AS file_date FRO
         sql("SELECT COUNT(*) AS total_events, COUNT(*) AS committed_events, TRUE AS several_commits FROM cdc"),
     )
 
+    # -- the mixed feed -----------------------------------------------------
+    c.add(
+        "generic_rest_members",
+        lambda s, d: lake.read_log(s, landed_mixed(s, d)[0], "warehouse").select("w_id", "w_name", "w_city", F.map_keys("rest").alias("names"), F.col("rest")["w_manager"].alias("w_manager")).withColumn("names", F.array_join("names", "|")),
+        "SELECT CAST(o_orderkey AS VARCHAR) AS w_id, o_orderstatus AS w_name, '' AS w_city, 'w_manager' AS names, o_orderpriority AS w_manager FROM orders WHERE o_orderkey % 3 = 0",
+    )
+    filed = "CAST(year(o_orderdate) AS VARCHAR) AS year, '01' AS month, '01' AS day, COUNT(*) AS row_count FROM orders"
+    c.add("archive_unregistered", lambda s, d: filed_rows(s, d, lake.OTHER, "cdc_table"), f"SELECT 'misc' AS cdc_table, {filed} WHERE o_orderkey % 3 = 1 GROUP BY year(o_orderdate)")
+    c.add("archive_after_replay", lambda s, d: filed_rows(s, d, "expenses"), f"SELECT {filed} WHERE o_orderkey % 3 = 2 GROUP BY year(o_orderdate)")
+    c.add(
+        "ingest_counters",
+        lambda s, d: stats.ingest_counts(lake.read_commits(s, landed_mixed(s, d)[0])),
+        "SELECT CAST(2 AS BIGINT) AS batches, COUNT(*) AS events, COUNT(*) FILTER (o_orderkey % 2 = 1) AS events_in_last_batch FROM orders",
+    )
+    category = "CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE o_orderpriority END"
+    c.add(
+        "empty_category_round_trip",
+        lambda s, d: lake.read_log(s, landed_mixed(s, d)[0]).select("expense_id", "shopping_type"),
+        f"SELECT CAST(o_orderkey AS VARCHAR) AS expense_id, {category} AS shopping_type FROM orders WHERE o_orderkey % 3 = 2",
+    )
+    c.add(
+        "named_log_spending",
+        lambda s, d: R.spending_by(named_view(s, d, "expenses"), "shopping_type"),
+        f"SELECT {category} AS shopping_type, CAST(SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS total_spend, COUNT(*) AS txn_count FROM orders WHERE o_orderkey % 3 = 2 GROUP BY 1",
+    )
+    c.add(
+        "named_log_commits",
+        lambda s, d: V.list_commits(named_view(s, d, "commits")).select("commit_id", "parent_id", "operation", F.col("summary")["expenses"].cast("bigint").alias("expenses")),
+        """SELECT o_orderkey % 2 + 1 AS commit_id, CASE WHEN o_orderkey % 2 = 1 THEN CAST(1 AS BIGINT) END AS parent_id, 'append' AS operation, COUNT(*) AS expenses
+FROM orders WHERE o_orderkey % 3 = 2 GROUP BY o_orderkey % 2""",
+    )
+    c.add(
+        "odd_times",
+        odd_times,
+        "SELECT CAST(o_orderkey AS VARCHAR) AS expense_id, CASE WHEN o_orderkey % 5 < 2 THEN TIMESTAMP '2024-06-01 00:00:00' ELSE TIMESTAMP '2023-11-14 22:13:20' END AS cdc_ts FROM orders",
+    )
+    c.add("live_sample_summary", sample_summary, sql("SELECT LEAST(5, COUNT(*)) AS sampled FROM live"))
+    c.add("archive_files_summary", listing_summary, sql("SELECT COUNT(*) > 0 AS all_listed, COUNT(*) > 0 AS all_have_bytes FROM cdc"))
+    c.add(
+        "file_inventory_summary",
+        inventory_summary,
+        sql("SELECT CAST(commit_id AS BIGINT) AS commit_id, shopping_type, COUNT(*) AS record_count, TRUE AS has_bytes FROM cdc GROUP BY commit_id, shopping_type"),
+    )
+
     # -- versions ---------------------------------------------------------
     c.add("log_as_of", lambda s, d: state_view(V.as_of(X.log(s, d), 2)), sql(f"SELECT {IMAGE}, cdc_table, cdc_operation, cdc_ts, commit_id FROM cdc WHERE commit_id <= 2"))
     c.add(

@@ -110,7 +110,7 @@ JOIN (SELECT expense_id AS latest_id, MAX(cdc_ts) AS latest FROM cdc GROUP BY ex
     )
     c.add(
         "current_state_totals",
-        lambda s, d: R.spending_by(S.current_state(X.log(s, d), STATE_KEYS, STATE_ORDER), "shopping_type", exclude=()),
+        lambda s, d: R.spending_by(S.current_state(X.log(s, d), STATE_KEYS, STATE_ORDER, ["shopping_type", "expense_amount"]), "shopping_type", exclude=()),
         sql("""SELECT shopping_type, CAST(SUM(expense_amount) AS DOUBLE) AS total_spend, COUNT(*) AS txn_count
 FROM live GROUP BY shopping_type ORDER BY total_spend DESC"""),
     )

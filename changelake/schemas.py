@@ -97,10 +97,15 @@ class TableSpec:
 
     @property
     def log_schema(self) -> T.StructType:
-        """Source columns, the three change columns and the parsed event time."""
+        """Source columns, the three change columns, the parsed event time, and further members of all-text tables."""
         meta = [T.StructField(c, T.StringType()) for c in META_COLUMNS]
         order = [T.StructField("cdc_ts", T.TimestampType()), T.StructField("cdc_seq", T.LongType())]
-        return T.StructType(list(self.columns.fields) + meta + order)
+        rest = [T.StructField("rest", T.MapType(T.StringType(), T.StringType()))] if is_text_table(self) else []
+        return T.StructType(list(self.columns.fields) + meta + order + rest)
+
+
+def is_text_table(spec: TableSpec) -> bool:
+    return all(isinstance(f.dataType, T.StringType) for f in spec.columns.fields)
 
 
 def _text_columns(names: str) -> T.StructType:
@@ -115,8 +120,6 @@ REGISTRY: dict[str, TableSpec] = {
     },
 }
 
-SNAPSHOT_COLUMNS = tuple(EXPENSES.fieldNames())
-
 
 def default_for(data_type: T.DataType):
     """Value that stands in for a missing source column of this type."""

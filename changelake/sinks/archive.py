@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changelake.sources.lake import archive_path
+from changelake.sources.lake import OTHER, archive_path
 
 DATE_PARTS = ("year", "month", "day")
 
@@ -25,17 +25,16 @@ def write_archive(
 
     ``base`` is any Hadoop file-system URI.  Rows are rebalanced by day, so a
     day becomes a few well-sized files and a very large day is split over
-    several tasks instead of landing in one.  With a ``commit_id`` the rows get
-    a folder of their own below each day, and writing the commit again replaces
-    those folders only; that needs a ``date`` taken from the rows.
+    several tasks instead of landing in one.  Each commit has a folder below
+    each day, and writing the commit again replaces those folders only; that
+    needs a ``date`` taken from the rows.  Rows of a job without commits are
+    appended to folder 0.  ``table`` ``_other`` takes rows of unregistered tables,
+    which get a folder per table.
     """
     path = archive_path(base, table)
-    out = dated(df, date).hint("rebalance", *DATE_PARTS)
-    if commit_id is None:
-        parts, mode = DATE_PARTS, "append"
-    else:
-        out = out.withColumn("commit_id", F.lit(commit_id).cast("bigint"))
-        parts, mode = (*DATE_PARTS, "commit_id"), "overwrite"
+    mode = "append" if commit_id is None else "overwrite"
+    out = dated(df, date).withColumn("commit_id", F.lit(commit_id or 0).cast("bigint")).hint("rebalance", *DATE_PARTS)
+    parts = (*(["cdc_table"] if table == OTHER else []), *DATE_PARTS, "commit_id")
     writer = out.write.mode(mode).option("compression", "snappy").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*parts).parquet(path)
     return path

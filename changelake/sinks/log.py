@@ -5,10 +5,11 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from changelake.operators.shaping import all_strings
 from changelake.schemas import REGISTRY
-from changelake.sources.lake import COMMITS
+from changelake.sources.lake import COMMITS, escaped
 
 
 def _write(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
@@ -20,7 +21,7 @@ def _write(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None
 def append_log(df: DataFrame, base: str, table: str, commit_id: int) -> None:
     """Write one commit's rows of one registered table."""
     spec = REGISTRY[table]
-    rows = df.select(*spec.log_schema.fieldNames())
+    rows = df.select(*spec.log_schema.fieldNames()).withColumns({c: escaped(F.col(c)) for c in spec.partition_by})
     _write(rows, f"{base}/log/{table}/commit_id={commit_id}", spec.partition_by)
 
 
@@ -30,15 +31,22 @@ def append_side(df: DataFrame, base: str, name: str, commit_id: int) -> None:
 
 
 def write_commit(
-    spark: SparkSession, base: str, commit_id: int, summary: dict[str, int], operation: str = "append", at: datetime | None = None
+    spark: SparkSession,
+    base: str,
+    commit_id: int,
+    summary: dict[str, int],
+    operation: str = "append",
+    at: datetime | None = None,
+    writer: str | None = None,
 ) -> None:
-    """List a commit; its rows become visible with this one-row write."""
+    """List a commit and the query that wrote it; its rows become visible with this one-row write."""
     row = (
         commit_id,
         commit_id - 1 if commit_id > 1 else None,
         operation,
         at or datetime.now(timezone.utc),
         {k: str(v) for k, v in sorted(summary.items())},
+        writer,
     )
     df = spark.createDataFrame([row], COMMITS).drop("commit_id").coalesce(1)
     df.write.mode("overwrite").parquet(f"{base}/commits/commit_id={commit_id}")

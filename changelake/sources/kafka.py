@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 def decode(messages: DataFrame) -> DataFrame:
     """Binary message values as a feed; the topic names the feed."""
     feed = F.col("topic") if "topic" in messages.columns else F.lit("default")
-    return messages.select(feed.alias("feed"), F.col("value").cast("string").alias("value"))
+    arrived = [F.col("timestamp").alias("received_at")] if "timestamp" in messages.columns else []
+    return messages.select(feed.alias("feed"), F.col("value").cast("string").alias("value"), *arrived)
 
 
 def options(

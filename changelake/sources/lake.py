@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changelake.schemas import REGISTRY
 
+OTHER = "_other"  # rows of tables nobody registered
+
 COMMIT_ID = T.StructField("commit_id", T.LongType())
 
 COMMITS = T.StructType(
@@ -18,6 +20,7 @@ COMMITS = T.StructType(
         T.StructField("operation", T.StringType()),
         T.StructField("committed_at", T.TimestampType()),
         T.StructField("summary", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("writer", T.StringType()),
     ]
 )
 
@@ -57,6 +60,15 @@ def read_commits(spark: SparkSession, base: str) -> DataFrame:
     return _parquet(spark, f"{base}/commits", COMMITS)
 
 
+def escaped(folder: Column) -> Column:
+    """A text as a folder name that can be empty: a folder without a name is read as NULL."""
+    return F.when((folder == "") | folder.startswith("="), F.concat(F.lit("="), folder)).otherwise(folder)
+
+
+def _unescaped(folder: Column) -> Column:
+    return F.regexp_replace(folder, "^=", "")
+
+
 def _committed(df: DataFrame, spark: SparkSession, base: str) -> DataFrame:
     """Rows of finished commits.
 
@@ -71,7 +83,19 @@ def _committed(df: DataFrame, spark: SparkSession, base: str) -> DataFrame:
 def read_log(spark: SparkSession, base: str, table: str = "expenses") -> DataFrame:
     """The committed change log of one registered table."""
     schema = T.StructType([*REGISTRY[table].log_schema.fields, COMMIT_ID])
-    return _committed(_parquet(spark, f"{base}/log/{table}", schema), spark, base)
+    rows = _committed(_parquet(spark, f"{base}/log/{table}", schema), spark, base)
+    return rows.withColumns({c: _unescaped(F.col(c)) for c in REGISTRY[table].partition_by})
+
+
+def register_log(spark: SparkSession, base: str, prefix: str = "") -> list[str]:
+    """The committed log of every registered table, and its commits, as views of the session.
+
+    Register again to see commits that were written meanwhile.
+    """
+    for table in REGISTRY:
+        read_log(spark, base, table).createOrReplaceTempView(prefix + table)
+    read_commits(spark, base).createOrReplaceTempView(f"{prefix}commits")
+    return [*(prefix + t for t in REGISTRY), f"{prefix}commits"]
 
 
 def read_other_rows(spark: SparkSession, base: str) -> DataFrame:
@@ -88,11 +112,16 @@ def read_dead_letters(spark: SparkSession, base: str) -> DataFrame:
 
 
 def archive_path(base: str, table: str) -> str:
-    return f"{base}/{REGISTRY[table].namespace}/{table}"
+    return f"{base}/unregistered" if table == OTHER else f"{base}/{REGISTRY[table].namespace}/{table}"
 
 
-def read_archive(spark: SparkSession, base: str, table: str = "expenses") -> DataFrame:
-    """The dated archive; filters on year, month and day skip whole folders."""
+def read_archive(spark: SparkSession, base: str, table: str = "expenses", log: str | None = None) -> DataFrame:
+    """The dated archive; filters on year, month and day skip whole folders.
+
+    ``table`` ``_other`` holds the rows of all unregistered tables.  With the base
+    folder of the ``log`` it is filed beside, only committed rows are read.
+    """
+    own = OTHER_ROWS.fields[:-1] if table == OTHER else REGISTRY[table].log_schema.fields
     parts = [T.StructField(c, T.StringType()) for c in ("year", "month", "day")]
-    schema = T.StructType([*REGISTRY[table].log_schema.fields, *parts])
-    return _parquet(spark, archive_path(base, table), schema)
+    rows = _parquet(spark, archive_path(base, table), T.StructType([*own, *parts, COMMIT_ID]))
+    return (rows if log is None else _committed(rows, spark, log)).drop("commit_id")

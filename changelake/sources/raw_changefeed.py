@@ -17,9 +17,9 @@ from changelake.schemas import RAW_BEFORE, RAW_EVENT_TYPE, RAW_UPDATED, REGISTRY
 def read_raw_changefeed(spark: SparkSession, path: str, table: str = "expenses") -> DataFrame:
     """Change-log rows of a raw feed, plus the day folder each came from."""
     spec = REGISTRY[table]
-    files = (
-        spark.read.option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").parquet(path)
-    )
+    found = spark.read.option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+    # Days may have different columns; the columns of all footers count, not those of one.
+    files = found.option("mergeSchema", "true").parquet(path)
     day = F.regexp_extract("_metadata.file_path", r"/(\d{4}-\d{2}-\d{2})/", 1).cast("date")
     if RAW_BEFORE in files.columns:
         gone = F.when(F.col(RAW_EVENT_TYPE) == "d", F.try_parse_json(RAW_BEFORE))

@@ -3,8 +3,9 @@
 Micro-batch ``b`` becomes commit ``b + 1``.  Rows are written first and the
 commit is listed last; a batch that fails is replayed by Spark from its
 checkpoint and replaces what it had written.  Keep the checkpoint with the log
-it feeds: commit numbers continue from it, and a query that would start below
-the newest commit is refused.
+it feeds: commit numbers continue from it, and a query that would replace a
+commit it did not write is refused.  A change without a time gets the time its
+body arrived, which a replay finds again.
 """
 
 from __future__ import annotations
@@ -21,16 +22,14 @@ from changelake.operators.shaping import typed_rows
 from changelake.schemas import META_COLUMNS, REGISTRY
 from changelake.sinks.archive import write_archive
 from changelake.sinks.log import append_log, append_side, write_commit
-from changelake.sources.lake import read_commits
-
-OTHER = "_other"
+from changelake.sources.lake import OTHER, read_commits
 
 # How much one micro-batch takes and how long it may wait.
 BATCH_SECONDS = 60
 
 
 def write_batch(
-    batch: DataFrame, base: str, commit_id: int, ingest_ts: str | None = None, archive: str | None = None
+    batch: DataFrame, base: str, commit_id: int, ingest_ts: str | None = None, archive: str | None = None, writer: str | None = None
 ) -> dict[str, int]:
     """Normalize one bounded feed and commit it; returns the row counts.
 
@@ -38,7 +37,7 @@ def write_batch(
     table names come from the registry, so their number is fixed.  ``archive``
     also files the rows under the day of their change.
     """
-    stamp = ingest_ts or datetime.now(timezone.utc).isoformat()
+    stamp = ingest_ts if ingest_ts or "received_at" in batch.columns else datetime.now(timezone.utc).isoformat()
     registered = F.when(F.col("cdc_table").isin(*REGISTRY), F.col("cdc_table")).otherwise(F.lit(OTHER))
     events = classify(unpack(batch), stamp).withColumn("_target", registered).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -49,31 +48,34 @@ def write_batch(
             rows = typed_rows(found.rows, table)
             append_log(rows, base, table, commit_id)
             if archive:
-                write_archive(rows.drop("feed"), archive, table, F.coalesce("cdc_ts", F.to_timestamp(F.lit(stamp))), commit_id)
+                write_archive(rows.drop("feed"), archive, table, F.col("cdc_ts"), commit_id)
         if OTHER in counts:
             unregistered = found.rows.filter(~F.col("cdc_table").isin(*REGISTRY)).select(
                 "feed", *META_COLUMNS, "cdc_ts", "cdc_seq", F.to_json("row").alias("body")
             )
             append_side(unregistered, base, f"log/{OTHER}", commit_id)
+            if archive:
+                write_archive(unregistered, archive, OTHER, F.col("cdc_ts"), commit_id)
         if PROGRESS in counts:
             append_side(found.progress, base, "progress", commit_id)
         if DEAD in counts:
             append_side(found.dead, base, "dead", commit_id)
-        write_commit(batch.sparkSession, base, commit_id, counts)
+        write_commit(batch.sparkSession, base, commit_id, counts, "append", None, writer)
     finally:
         events.unpersist()
     return counts
 
 
-def refuse_old_commit(batch: DataFrame, base: str, commit_id: int) -> None:
+def refuse_old_commit(batch: DataFrame, base: str, commit_id: int, writer: str | None) -> None:
     """Stop a query whose checkpoint is older than the log.
 
-    Only the newest commit can be a replay.  An older number means that the
-    checkpoint was lost or belongs to another log; writing it would replace
-    rows that are already committed.
+    Only the newest commit can be a replay, and only by the query that wrote it.
+    Anything else means that the checkpoint was lost or belongs to another log;
+    writing the commit would replace rows that are already committed.
     """
-    newest = read_commits(batch.sparkSession, base).agg(F.max("commit_id").alias("newest")).first()["newest"]
-    if newest is not None and commit_id < newest:
+    commits = read_commits(batch.sparkSession, base)
+    newest, last = commits.agg(F.max("commit_id"), F.max_by("writer", "commit_id")).first()
+    if newest is not None and (commit_id < newest or commit_id == newest and writer != last):
         raise ValueError(f"the checkpoint continues at commit {commit_id}, the log already has {newest}")
 
 
@@ -95,10 +97,12 @@ def run_to_log(
 
     def land(batch: DataFrame, batch_id: int) -> None:
         nonlocal started
+        # The id is kept in the checkpoint, so it outlives restarts.
+        writer = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         if not started:
-            refuse_old_commit(batch, base, batch_id + 1)
+            refuse_old_commit(batch, base, batch_id + 1, writer)
             started = True
-        write_batch(batch, base, batch_id + 1, ingest_ts, archive)
+        write_batch(batch, base, batch_id + 1, ingest_ts, archive, writer)
 
     return (
         stream.writeStream.foreachBatch(land)

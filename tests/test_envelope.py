@@ -252,3 +252,14 @@ def test_times_beyond_all_calendars_never_fail_a_batch(spark):
     found = {r.t: r for r in rows}
     assert found[texts[0]].ts is None and found[texts[4]].ts is None and found["later"].ts is None
     assert found[texts[2]].ts is not None and found["1700000000000"].ts is not None
+
+
+def test_members_with_odd_names_are_inferred(spark):
+    found = T.inferred_rows(N.normalize(feed(spark, {"__table__": "t", "it's": 1, "OBJECT<": 2, "a.b": "x"}), INGEST).rows, "t")
+    row = found.first()
+    assert (row["it's"], row["OBJECT<"], row["a.b"]) == (1, 2, "x")
+
+
+def test_arrival_stands_in_for_a_missing_time(spark):
+    raw = feed(spark, {"after": ROW}).withColumn("received_at", F.lit("2024-02-03T04:05:06Z").cast("timestamp"))
+    assert N.normalize(raw).rows.select(F.col("cdc_ts") == F.lit("2024-02-03T04:05:06Z").cast("timestamp")).first()[0]

@@ -8,7 +8,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from changelake import workdir
-from changelake.functions.sized import BROADCAST_ROWS, broadcast_if_small
 from changelake.operators import changes as C
 from changelake.operators import envelope as N
 from changelake.operators import reports as R
@@ -43,7 +42,7 @@ def amounts(df):
 
 def test_update(spark, live):
     pick = C.pick_top(live, 2, F.desc("expense_amount"), F.col("expense_id"))
-    new, changed = C.apply_update(live, pick, {"expense_amount": F.col("expense_amount") * F.lit("1.15").cast("decimal(3,2)")}, max_rows=2)
+    new, changed = C.apply_update(live, pick, {"expense_amount": F.col("expense_amount") * F.lit("1.15").cast("decimal(3,2)")})
     assert amounts(new) == {"a": 1.0, "b": 6.38, "c": 3.0, "d": 4.6}
     assert new.schema.simpleString() == live.schema.simpleString()
     assert {(r.before.expense_id, float(r.before.expense_amount), float(r.after.expense_amount)) for r in changed.collect()} == {
@@ -53,7 +52,7 @@ def test_update(spark, live):
 
 
 def test_changes_then_fold_is_the_new_table(spark, live):
-    after_update, updates = C.apply_update(live, C.pick_top(live, 1, F.col("expense_id")), {"merchant": F.lit("n")}, max_rows=1)
+    after_update, updates = C.apply_update(live, C.pick_top(live, 1, F.col("expense_id")), {"merchant": F.lit("n")})
     after_delete, deletes = C.apply_delete(after_update, C.pick_top(after_update, 2, F.desc("expense_id")))
     rows = series.literal_rows(spark, [expense("e", 9)], COLUMNS)
     after_insert, inserts = C.apply_insert(after_delete, rows)
@@ -131,6 +130,15 @@ def test_raw_changefeed_skips_markers_and_fills_deletes(spark, tmp_path):
     assert str(found[0].file_date) == "2024-02-03"
 
 
+def test_raw_changefeed_whose_oldest_day_lacks_columns(spark, tmp_path):
+    meta = f"{RAW_EVENT_TYPE} string, {RAW_UPDATED} string"
+    spark.createDataFrame([("a", "c", "1000000000.0000000000")], f"expense_id string, {meta}").write.parquet(str(tmp_path / "2024-02-03"))
+    gone = [("a", None, "d", "2000000000.0000000000", '{"expense_id":"a","merchant":"m"}')]
+    spark.createDataFrame(gone, f"expense_id string, shopping_type string, {meta}, {RAW_BEFORE} string").write.parquet(str(tmp_path / "2024-02-04"))
+    found = {r.cdc_operation: r.merchant for r in raw.read_raw_changefeed(spark, str(tmp_path)).collect()}
+    assert found == {"insert": None, "delete": "m"}
+
+
 def test_no_files_yet_is_an_empty_log(spark, tmp_path):
     assert lake.read_log(spark, str(tmp_path / "nothing")).count() == 0
 
@@ -208,15 +216,6 @@ def test_shared_folder_comes_from_the_session(spark):
     assert workdir.fresh(spark, "x") != workdir.fresh(spark, "x")
 
 
-def test_broadcast_only_below_the_bound(spark):
-    def hinted(df):
-        return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
-
-    assert hinted(broadcast_if_small(spark.range(5), 5))
-    assert not hinted(broadcast_if_small(spark.range(5), BROADCAST_ROWS + 1))
-    assert not hinted(broadcast_if_small(spark.range(5), None))
-
-
 def test_fill_defaults_and_all_strings(spark):
     df = spark.createDataFrame([(None, None, None)], "expense_id string, expense_amount decimal(12,2), recurring boolean")
     assert tuple(T.fill_defaults(df, "expenses").first()) == ("", Decimal("0.00"), False)

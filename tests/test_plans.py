@@ -1,5 +1,6 @@
 """Plan shapes and hot keys: what has to hold at a thousand times the data."""
 
+import re
 from collections import Counter
 from datetime import datetime, timedelta
 from decimal import Decimal
@@ -7,7 +8,6 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from changelake.functions.sized import spread
 from changelake.operators import hybrid as H
 from changelake.operators import reports as R
 from changelake.operators import state as S
@@ -105,7 +105,7 @@ def test_a_large_day_is_written_by_several_tasks(spark, hot, tmp_path):
         archive.write_archive(lake.read_log(spark, hot), str(tmp_path), "expenses", date=F.lit("2024-03-05").cast("date"))
     finally:
         undo()
-    files = list((tmp_path / "spending/expenses/year=2024/month=03/day=05").glob("*.parquet"))
+    files = list((tmp_path / "spending/expenses/year=2024/month=03/day=05").glob("**/*.parquet"))
     assert len(files) > 1
     assert lake.read_archive(spark, str(tmp_path)).count() == HOT_ROWS + OTHER_KEYS
 
@@ -154,11 +154,31 @@ def test_lifecycle_aggregates_the_log_once(fixture):
     assert final_plan(H.full_lifecycle(log, live, snap)).count("ReusedSubquery") >= 2
 
 
-def test_lifecycle_without_the_bound_is_the_same(fixture, monkeypatch):
+def test_lifecycle_has_one_plan_whatever_its_length(fixture):
     live, log, snap = fixture
-    bounded = H.full_lifecycle(log, live, snap, 50).collect()
-    monkeypatch.setattr(H, "SUBQUERY_ROWS", 10)
-    assert sorted(H.full_lifecycle(log, live, snap, 50).collect()) == sorted(bounded)
+    few, many = (H.full_lifecycle(log, live, snap, n) for n in (50, 5000))
+    shape = lambda df: re.findall(r"\b[A-Z]\w+(?:Join|Aggregate|Generate|Exchange)\b", plan(df))
+    assert shape(few) == shape(many) and "LeftSemi" in plan(few)
+    assert set(few.collect()) <= set(many.collect())
+
+
+def test_state_reads_only_the_columns_asked_for(fixture):
+    _, log, _ = fixture
+    few = S.current_state(log, ["expense_id"], ["cdc_ts"], ["expense_amount"])
+    assert len(re.findall("o_\\w+:", plan(few).split("ReadSchema")[1])) < len(re.findall("o_\\w+:", plan(S.current_state(log, ["expense_id"], ["cdc_ts"])).split("ReadSchema")[1]))
+
+
+def test_fold_reduces_the_log_once(spark, hot, tmp_path):
+    log = lake.read_log(spark, hot)
+    live_of(log).write.parquet(str(tmp_path / "base"))
+    folded = S.fold(spark.read.parquet(str(tmp_path / "base")), log.drop("cdc_seq"), ["expense_id"], ["cdc_ts", "commit_id"])
+    assert len(folded.collect()) == OTHER_KEYS + 1
+    assert "ReusedExchange" in plan(folded)
+
+
+def test_small_picks_are_broadcast_without_a_hint(fixture):
+    _, log, _ = fixture
+    assert "BroadcastHashJoin" in plan(S.most_modified_audit(log, 5))
 
 
 def test_shares_reuse_the_grouping(fixture):
@@ -177,8 +197,8 @@ def test_reports_read_only_their_columns(fixture):
 
 def test_spread_leaves_large_scans_alone(spark):
     cores = spark.sparkContext.defaultParallelism
-    assert "Exchange" in plan(spread(spark.range(10, numPartitions=1)))
-    assert "Exchange" not in plan(spread(spark.range(10, numPartitions=cores)))
+    assert "Exchange" in plan(X.spread(spark.range(10, numPartitions=1)))
+    assert "Exchange" not in plan(X.spread(spark.range(10, numPartitions=cores)))
 
 
 def test_counts_add_up(spark, fixture):

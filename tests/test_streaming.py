@@ -1,12 +1,14 @@
 """Streaming ingest: batches, restart, replay, failure, versions."""
 
 import json
+import os
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from changelake.operators import versions as V
+from changelake.sinks import archive
 from changelake.sources import events, lake
 from changelake.streaming import ingest, stats
 
@@ -58,11 +60,11 @@ def test_commits_restart_and_versions(spark, landing, tmp_path):
     assert lake.read_commits(spark, base).count() == 3
 
     land(landing, 3)
-    query = start(spark, landing, base)
-    assert stats.ingest_counts(query)["rows_read"] == 1
+    start(spark, landing, base)
     log, commits = lake.read_log(spark, base), lake.read_commits(spark, base)
     counts = stats.stats(log, commits).first()
     assert (counts.total_events, counts.total_flushes) == (5, 4)
+    assert tuple(stats.ingest_counts(commits).first()) == (4, 9, 1)
     assert V.as_of(log, 4).count() == 5
     assert sorted(r.commit_id for r in V.list_commits(commits, 2).collect()) == [3, 4]
     assert [r.commit_id for r in V.history(commits).collect() if r.is_current] == [4]
@@ -153,8 +155,9 @@ def test_archive_beside_the_log(spark, landing, tmp_path):
 
 
 def test_pending_messages():
-    assert stats.pending({"sources": [{"metrics": {"maxOffsetsBehindLatest": "7"}}, {"metrics": {}}]}) == 7
-    assert stats.pending({"sources": [{}]}) is None
+    behind = {"endOffset": {"t": {"0": 5, "1": 5}}, "latestOffset": '{"t": {"0": 9, "1": 8, "2": 1}}'}
+    assert stats.pending({"sources": [behind, {}]}) == 8
+    assert stats.pending({"sources": [{}, {"latestOffset": {"logOffset": 3}}]}) is None
 
 
 def test_a_lost_checkpoint_is_refused(spark, landing, tmp_path):
@@ -165,3 +168,60 @@ def test_a_lost_checkpoint_is_refused(spark, landing, tmp_path):
     with pytest.raises(StreamingQueryException):
         start(spark, landing, base, checkpoint=str(tmp_path / "new-checkpoint"))
     assert log_keys(spark, base) == before
+
+
+def test_a_lost_checkpoint_is_refused_after_one_commit(spark, landing, tmp_path):
+    base = str(tmp_path / "lake")
+    land(landing, 0)
+    start(spark, landing, base)
+    assert lake.read_commits(spark, base).first().writer
+    with pytest.raises(StreamingQueryException):
+        start(spark, landing, base, checkpoint=str(tmp_path / "new-checkpoint"))
+    assert len(log_keys(spark, base)) == 2 and lake.read_log(spark, base, "warehouse").count() == 1
+
+
+def test_a_replay_after_midnight_files_rows_once(spark, landing, tmp_path):
+    base, filed = str(tmp_path / "lake"), str(tmp_path / "archive")
+    (landing / "bare.txt").write_text(json.dumps({"expense_id": "a"}) + "\n" + json.dumps({"x": 1}) + "\n")
+    os.utime(landing / "bare.txt", (86399, 86399))
+    for _ in range(2):
+        ingest.write_batch(events.read_events(spark, str(landing)), base, 1, None, filed)
+    (row,) = lake.read_archive(spark, filed, log=base).collect()
+    assert (row.expense_id, row.year, row.month, row.day) == ("a", "1970", "01", "01")
+    (row,) = lake.read_archive(spark, filed, "_other", log=base).collect()
+    assert (row.cdc_table, json.loads(row.body), row.day) == ("unknown", {"x": 1}, "01")
+
+
+def test_a_job_and_a_stream_share_an_archive(spark, tmp_path):
+    base, filed = str(tmp_path / "lake"), str(tmp_path / "archive")
+    batch = spark.createDataFrame([(json.dumps(e),) for e in BATCHES[0]], "value string")
+    ingest.write_batch(batch, base, 1, INGEST, filed)
+    archive.write_archive(lake.read_log(spark, base), filed, "expenses", date=F.col("cdc_ts"))
+    assert lake.read_archive(spark, filed).count() == 4
+    later = lake.read_log(spark, base).withColumn("expense_id", F.lit("unlisted"))
+    archive.write_archive(later, filed, "expenses", date=F.col("cdc_ts"), commit_id=2)
+    assert lake.read_archive(spark, filed, log=base).count() == 4
+
+
+def test_members_nobody_listed_and_empty_categories_survive(spark, tmp_path):
+    base = str(tmp_path / "lake")
+    rows = [{"w_id": 1, "w_name": "n", "w_manager": "kim", "w_note": None}, {"expense_id": "a"}, {"expense_id": "b", "shopping_type": None}, {"expense_id": "c", "shopping_type": "=x"}]
+    ingest.write_batch(spark.createDataFrame([(json.dumps(r),) for r in rows], "value string"), base, 1, INGEST)
+    assert lake.read_log(spark, base, "warehouse").first().rest == {"w_manager": "kim", "w_note": ""}
+    log = lake.read_log(spark, base)
+    assert {r.expense_id: r.shopping_type for r in log.collect()} == {"a": "", "b": None, "c": "=x"}
+    assert log.filter("shopping_type = ''").count() == 1
+    lake.register_log(spark, base, "landed_")
+    assert spark.sql("SELECT COUNT(*) FROM landed_expenses WHERE commit_id <= (SELECT MAX(commit_id) FROM landed_commits)").first()[0] == 3
+
+
+def test_counters_go_on_beyond_the_kept_progress_reports(spark, landing, tmp_path):
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        base = str(tmp_path / "lake")
+        land(landing, 0, 1, 2, 3)
+        start(spark, landing, base)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+    assert stats.ingest_counts(lake.read_commits(spark, base)).first().batches == 4
