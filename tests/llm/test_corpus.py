@@ -100,6 +100,39 @@ def test_ppm_probabilities_sum_to_one_and_match_counts(spark, odd, empty):
     assert abs(blank.score + np.log10(256)) < 1e-9
 
 
+def test_ppm_learns_every_branch_whatever_the_size(spark):
+    rng = np.random.default_rng(4)
+    words = ["".join(chr(97 + c) for c in rng.integers(0, 26, 5)) for _ in range(400)]
+    texts = [" ".join(words[i] for i in rng.integers(0, 400, 4000)) for _ in range(100)] + ["Zyxwvu seen once"]  # 2.4 million symbols
+    probes = ["Zyxwvu seen once", "Zyxwvu", "unseen ÿ", "", texts[0], None]
+    counts = {}
+    for _, _, data in ppm.blocks(texts):
+        for key, n in zip(*np.unique(ppm.symbols(data)[0], return_counts=True)):
+            counts[int(key)] = counts.get(int(key), 0) + int(n)
+    branches = {}  # per context (a number and its length): the symbols' counts
+    for key, n in counts.items():
+        for k in range(ppm.ORDER + 1):
+            symbol, context = key >> 40, (key & (1 << 40) - 1) >> 8 * (ppm.ORDER - k)
+            node = branches.setdefault((k, context), {})
+            node[symbol] = node.get(symbol, 0) + n
+
+    def log10(key):
+        symbol, gone, total = key >> 40, set(), 0.0
+        for k in range(ppm.ORDER, -1, -1):
+            node = {s: n for s, n in branches.get((k, (key & (1 << 40) - 1) >> 8 * (ppm.ORDER - k)), {}).items() if s not in gone}
+            if node:
+                total += np.log10((node.get(symbol) or len(node)) / (sum(node.values()) + len(node)))
+                if symbol in node:
+                    return total
+                gone |= set(node)
+        return total - np.log10(256 - len(gone))
+
+    want = [sum(log10(int(key)) for key in ppm.symbols(next(ppm.blocks([p or ""]))[2])[0]) for p in probes]
+    train = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = ppm.score(spark.createDataFrame(list(enumerate(probes)), "doc_id long, text string"), train)
+    assert [r.score for r in got.orderBy("doc_id").collect()] == pytest.approx(want, abs=1e-6)
+
+
 def test_fingerprints(odd, empty):
     got = order_minhash.beside_next(odd).collect()
     assert len(got) == len(ODD)
