@@ -179,6 +179,29 @@ def test_suffix_dedup_odd_rows(odd, empty):
     assert suffix_dedup.dedup(empty).count() == 0
 
 
+def test_suffix_dedup_sorts_no_unbounded_group(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    noise = lambda n: bytes(rng.integers(97, 123, n).astype(np.uint8)).decode()
+    passage = noise(200)
+    docs = [(i, noise(60) + passage + noise(60)) for i in range(suffix_dedup.HOT_CONTEXTS + 300)]
+    sorting, largest = suffix_dedup._sorted, []
+
+    def watched(contexts):
+        largest.append(contexts.groupBy("__hash").count().agg({"count": "max"}).first()[0] or 0)
+        return sorting(contexts)
+
+    monkeypatch.setattr(suffix_dedup, "_sorted", watched)
+    got = {r.doc_id: bytes(r.text).decode() for r in suffix_dedup.dedup(spark.createDataFrame(docs, "doc_id long, text string"), as_bytes=True).collect()}
+    seen, want = set(), {}
+    for i, t in docs:
+        strings = [t[s : s + 50] for s in range(len(t) - 49)]
+        gone = {s + k for s, x in enumerate(strings) if x in seen for k in range(50)}
+        want[i] = "".join(c for n, c in enumerate(t) if n not in gone)
+        seen.update(strings)
+    assert got == want and len(want[1]) < 130
+    assert max(largest) <= suffix_dedup.HOT_CONTEXTS
+
+
 def test_suffix_sort():
     rng = np.random.default_rng(1)
     for _ in range(30):
