@@ -14,7 +14,8 @@ their sets' Jaccard similarity reaches the threshold.
 3. *Pivots.*  Each list names its most typical member, and all others of the list
    meet it: linear work where all pairs would be quadratic.
 4. *The rest.*  Only pairs of different components that share a list and whose sizes
-   and ranks still allow a link are left; they are met one by one.
+   and ranks still allow a link are left; they are met one by one, by list and bands of
+   both sizes, so that what sizes and ranks rule out is hardly ever paired.
 
 Pairs of 3 and 4 pass an estimate on the union's sketch before the exact Jaccard of
 the whole sets decides.  Components come from minimum labels passed along links.
@@ -45,6 +46,7 @@ SHARED = 28  # least overlap of two full sketches at a similarity of 0.8
 SHARED_PART_FULL = 48  # the same where one of the sets is smaller than a sketch
 LAST = (1 << 63) - 1  # stands for a null id
 BROADCAST_ROWS = 400_000  # of 24 bytes: what tasks may hold of the documents to look at again
+BAND = math.log(1.03)  # sizes in a band are within 3 per cent
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -123,6 +125,32 @@ def _possible(a: str, b: str, percent: int) -> Column:
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * overlap >= percent * (n + m))
 
 
+def _roles(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``rows`` as the smaller and as the larger of two, once per band of the other's size that size and rank allow.
+
+    ``__low`` and ``__high`` are the bands of the smaller and the larger size.
+    """
+    n = F.col("__size").cast("long")
+    most = F.floor(((100 + percent) * (n - F.col("__rank")) - percent * n) / percent)
+    band = lambda size: F.floor(F.log(size.cast("double")) / BAND).cast("int")
+    bands = lambda a, b: F.explode(F.sequence(band(a), band(b)))
+    larger = F.least(F.floor(100 * n / percent), most)
+    smaller = F.ceil(percent * n / 100)
+    return (
+        rows.filter(larger >= n).withColumn("__low", band(n)).withColumn("__high", bands(n, larger)),
+        rows.filter(F.least(n, most) >= smaller).withColumn("__low", bands(smaller, F.least(n, most))).withColumn("__high", band(n)),
+    )
+
+
+def _pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """``__a < __b``: documents of different labels that share a value and whose sizes and ranks allow a link."""
+    keys = ["__value", "__low", "__high"]
+    one, two = (role.select(*keys, *[F.col(c).alias(f"{x}{c}") for c in ("__k", "__size", "__rank", "__label")]) for x, role in zip("ab", _roles(rows, percent)))
+    ordered = (F.col("a__size") < F.col("b__size")) | ((F.col("a__size") == F.col("b__size")) & (F.col("a__k") < F.col("b__k")))
+    met = one.join(two, keys).filter(ordered & (F.col("a__label") != F.col("b__label")) & _possible("a", "b", percent))
+    return met.select(F.least("a__k", "b__k").alias("__a"), F.greatest("a__k", "b__k").alias("__b")).distinct()
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (``__a, __b``) of documents whose whole sets are similar enough, as classes."""
     left = sets.select(F.col("__k").alias("__a"), F.col("__class").alias("__class_a"), F.col("__set").alias("__set_a"))
@@ -213,10 +241,7 @@ def link(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
     mixed = stored(named, "named")
     several = mixed.groupBy("__value").agg(F.min("__label").alias("__low"), F.max("__label").alias("__high"), F.count("*").alias("__count")).filter("__low < __high")
     mixed = stored(join_counted(mixed, stored(several.drop("__low", "__high"), "several"), ["__value"], "__count", ["__k"], "inner"), "mixed")
-    one = mixed.select("__value", *[F.col(c).alias(f"a{c}") for c in ("__k", "__size", "__rank", "__label")])
-    two = mixed.select("__value", *[F.col(c).alias(f"b{c}") for c in ("__k", "__size", "__rank", "__label")])
-    rest = one.join(two, (one["__value"] == two["__value"]) & (F.col("a__k") < F.col("b__k")) & (F.col("a__label") != F.col("b__label")) & _possible("a", "b", percent))
-    rest = rest.select(F.col("a__k").alias("__a"), F.col("b__k").alias("__b")).distinct().join(tried, ["__a", "__b"], "left_anti")
+    rest = _pairs(mixed, percent).join(tried, ["__a", "__b"], "left_anti")
     more = stored(_linked(stored(rest, "rest"), sets, percent), "more-links")
     if not more.isEmpty():
         labels = components(nodes, links.union(more), "labels")

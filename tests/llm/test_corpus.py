@@ -164,6 +164,21 @@ def test_near_dedup_odd_rows(odd, empty):
     assert near_dedup.mark(empty).count() == 0 and near_dedup.representatives(empty).count() == 0
 
 
+def test_near_dedup_pairs_only_what_size_and_rank_allow(spark):
+    rng = np.random.default_rng(6)
+    rows = [(v, int(k), int(n), int(r), int(k) % 50) for v in (1, 2) for k, n, r in zip(range(300), rng.integers(1, 130, 300), rng.integers(0, 12, 300))]
+    columns = "__value long, __k long, __size int, __rank int, __label long"
+    want = set()
+    for (v, a, n, r, x), (w, b, m, q, y) in itertools.combinations(rows, 2):
+        if v == w and x != y and 100 * min(n, m) >= 80 * max(n, m) and 180 * min(n - r, m - q) >= 80 * (n + m):
+            want.add((min(a, b), max(a, b)))
+    assert {tuple(r) for r in near_dedup._pairs(spark.createDataFrame(rows, columns), 80).collect()} == want and want
+    # 85 per cent of one template each: no pair of them may be linked, so none may be formed.
+    hot = spark.createDataFrame([(1, k, 1000 + k % 7, 150, k) for k in range(400)], columns)
+    one, two = near_dedup._roles(hot, 80)
+    assert one.join(two, ["__value", "__low", "__high"]).count() == 0
+
+
 def test_suffix_dedup_odd_rows(odd, empty):
     got = sorted((str(r.doc_id), bytes(r.text)) for r in suffix_dedup.dedup(odd, as_bytes=True).collect())
     key = lambda i: suffix_dedup.LAST if i is None else i
