@@ -23,7 +23,8 @@ Lists never leave the cluster, and no group of documents is gathered in one task
 
 Defined results: null or blank texts have empty sets and no links; null ids come last
 and make a null component id unless a linked document has an id; rows equal in id and
-words are one class, and ``representatives`` keeps one of them.
+words are one class.  Labels name a class besides its least id, so ``representatives``
+keeps one row of each component also where ids are null or repeated.
 """
 
 from __future__ import annotations
@@ -166,7 +167,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def components(nodes: DataFrame, links: DataFrame, name: str = "labels") -> DataFrame:
-    """``__class, __id, __label`` for stored nodes ``__class, __id``: the least id that links reach."""
+    """``__class, __id, __label`` for stored nodes ``__class, __id`` (unique): the least id that links reach."""
     ways = stored(links.select("__class_a", "__class_b").union(links.select("__class_b", "__class_a")).distinct(), f"{name}-links")
     labels = nodes.withColumn("__label", F.col("__id"))
     step = 0
@@ -187,7 +188,10 @@ def components(nodes: DataFrame, links: DataFrame, name: str = "labels") -> Data
 
 
 def link(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """Per row ``__key, __th, n_shingles, __label``: the least id of its component (``LAST`` for none)."""
+    """Per row ``__key, __th, n_shingles, __label, __k, __group``.
+
+    ``__label`` is the least id of its component (``LAST`` for none), ``__k`` its class and ``__group`` the class that has this id and names the component.
+    """
     if percent < 80:
         raise ValueError("the sketches are sized for a similarity of 0.8 or more")
     rows = stored(sketches(df, key, text, words), "sketches")
@@ -231,12 +235,13 @@ def link(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
     met = met.filter((F.col("l__k") != F.col("p__k")) & _possible("l", "p", percent))
     tried = stored(met.select(F.least("l__k", "p__k").alias("__a"), F.greatest("l__k", "p__k").alias("__b")).distinct(), "tried")
     links = stored(_linked(tried, sets, percent), "links")
-    nodes = sets.select("__class").distinct().join(classes.select("__class", F.col("__first.__key").alias("__id")), "__class")
+    nodes = sets.select("__class", "__k").distinct().join(classes.select("__class", F.col("__first.__key").alias("__key")), "__class")
+    nodes = nodes.select("__class", F.struct("__key", "__k").alias("__id"))
     nodes = stored(nodes, "nodes")
     labels = components(nodes, links, "first-labels")
 
     # 4. Pairs of different components that could still be linked.
-    names = stored(sets.select("__k", "__class").distinct().join(labels, "__class").select("__k", "__label"), "names")
+    names = stored(sets.select("__k", "__class").distinct().join(labels, "__class").select("__k", F.col("__label.__k").alias("__label")), "names")
     named = lists.select("__value", "__k", "__size", "__rank").join(names, "__k")
     mixed = stored(named, "named")
     several = mixed.groupBy("__value").agg(F.min("__label").alias("__low"), F.max("__label").alias("__high"), F.count("*").alias("__count")).filter("__low < __high")
@@ -247,9 +252,9 @@ def link(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
         labels = components(nodes, links.union(more), "labels")
 
     known = classes.select("__class", "__rows", F.col("__first.__key").alias("__id")).join(labels.select("__class", "__label"), "__class", "left")
-    known = stored(known.select("__class", "__rows", F.coalesce("__label", "__id").alias("__label")), "known")
-    found = join_counted(rows.select("__key", "__th", "n_shingles", "__class"), known, ["__class"], "__rows", ["__key", "__th"])
-    return found.select("__key", "__th", "n_shingles", F.coalesce("__label", "__key").alias("__label"))
+    known = stored(known.select("__class", "__rows", F.coalesce("__label.__key", "__id").alias("__label"), F.col("__label.__k").alias("__group")), "known")
+    found = join_counted(rows.select("__key", "__th", "n_shingles", "__class", "__k"), known, ["__class"], "__rows", ["__key", "__th"])
+    return found.select("__key", "__th", "n_shingles", F.coalesce("__label", "__key").alias("__label"), "__k", F.coalesce("__group", "__k").alias("__group"))
 
 
 def mark(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -262,9 +267,10 @@ def mark(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
 
 
 def representatives(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``df`` whose id is the least of their component, one for each."""
-    found = link(df, key, text, words, percent).filter(F.col("__key") == F.col("__label"))
-    kept = stored(found.filter("n_shingles > 0").select("__key", "__th").distinct(), "kept")
+    """The rows of ``df`` whose id is the least of their component, one for each; blank texts all stay."""
+    found = link(df, key, text, words, percent).filter((F.col("__key") == F.col("__label")) & (F.col("__k") == F.col("__group")))
+    kept = found.filter("n_shingles > 0").groupBy("__group").agg(F.min(F.struct("__key", "__th")).alias("__one"))
+    kept = stored(kept.select("__one.*"), "kept")
     marked = df.withColumns({"__key": F.coalesce(F.col(key).cast("long"), F.lit(LAST)), "__th": F.xxhash64(text), "__blank": ~F.coalesce(F.col(text), F.lit("")).rlike(r"[^ \t\n\x0B\f\r]")})
     chosen = marked.filter(~F.col("__blank")).join(kept, ["__key", "__th"])
     turn = F.row_number().over(Window.partitionBy("__key", "__th").orderBy(F.lit(0)))

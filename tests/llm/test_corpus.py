@@ -164,6 +164,15 @@ def test_near_dedup_odd_rows(odd, empty):
     assert near_dedup.mark(empty).count() == 0 and near_dedup.representatives(empty).count() == 0
 
 
+def test_near_dedup_keeps_one_of_each_component(spark):
+    other = " ".join(f"v{i}y{i * i % 89}" for i in range(120))
+    third = " ".join(f"u{i}z{i * i % 83}" for i in range(120))
+    rows = [(None, A), (None, A.upper()), (None, A + " tail"), (None, other), (7, third), (7, third + " tail"), (7, third.replace(" ", "  ")), (7, "quite another text of this id")]
+    kept = [(r.doc_id, r.text) for r in near_dedup.representatives(spark.createDataFrame(rows, "doc_id long, text string"), words=4).collect()]
+    label = _components(rows, 4)
+    assert sorted(label[rows.index(k)] for k in kept) == sorted(set(label)) and len(kept) == 4
+
+
 def test_near_dedup_pairs_only_what_size_and_rank_allow(spark):
     rng = np.random.default_rng(6)
     rows = [(v, int(k), int(n), int(r), int(k) % 50) for v in (1, 2) for k, n, r in zip(range(300), rng.integers(1, 130, 300), rng.integers(0, 12, 300))]
