@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from changelake.workdir import fresh
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,21 @@ SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[ \t\n\x0B\f\r]+"
 
 
+CHUNK = 4 << 20
+
+
+def chunks(data: bytes, size: int = CHUNK) -> Iterator[bytes]:
+    """``data`` in pieces of about ``size`` bytes, cut behind a space; a longer word stays whole."""
+    at = 0
+    while len(data) - at > size:
+        end = data.find(b" ", at + size) + 1
+        if not end:
+            break
+        yield data[at:end]
+        at = end
+    yield data[at:]
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

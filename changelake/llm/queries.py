@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from changelake.llm import line_dedup, near_dedup, order_minhash, packing, ppm, quality_classifier, quality_rules, sentence_pieces, suffix_dedup, warc
+from changelake.llm import chat_format, collocations, line_dedup, near_dedup, order_minhash, packing, ppm, quality_classifier, quality_rules, sentence_pieces, spelling, suffix_dedup, warc
 from changelake.llm.common import fold_of, read, whole
 from changelake.workdir import fresh
 from pyspark.sql import DataFrame, SparkSession
@@ -157,6 +157,56 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold_of("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= PREDICTED).cast("int").alias("predicted"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with its more frequent near word and the end of such forms."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.group(docs, delete_every=31)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2000 best phrases of two to five words."""
+    return collocations.mine(read(spark, sf_dir, "documents").select("text", "lang"))
+
+
+OP12_SQL = r"""WITH t AS (SELECT COALESCE(lang, 'und') AS lang, translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, UNNEST(regexp_split_to_array(text, '[.,;:!?\n\x0B\x0C\r]')) AS piece FROM t),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w FROM p),
+totals AS (SELECT lang, CAST(SUM(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, UNNEST(flatten(list_transform(range(1, 6), lambda k: list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])))) AS words FROM w),
+f AS (SELECT lang, words, CAST(COUNT(*) AS BIGINT) AS f FROM g GROUP BY lang, words HAVING COUNT(*) >= 100),
+c AS (SELECT * FROM f WHERE len(words) > 1),
+covered AS (SELECT DISTINCT lang, part FROM (SELECT lang, f, UNNEST([words[1:len(words) - 1], words[2:len(words)]]) AS part FROM c WHERE len(words) > 2) x
+  WHERE EXISTS (SELECT 1 FROM c WHERE c.lang = x.lang AND c.words = x.part AND x.f >= c.f)),
+o AS (SELECT c.* FROM c LEFT JOIN covered v ON c.lang = v.lang AND c.words = v.part WHERE v.part IS NULL),
+k AS (SELECT lang, words, f, UNNEST(range(1, len(words))) AS k FROM o),
+s AS (SELECT k.lang, k.words, k.f AS a, k.k, x.f AS l, y.f AS r, n, (CAST(1000 AS HUGEINT) * k.f * n) // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM k JOIN totals ON totals.lang = k.lang JOIN f x ON x.lang = k.lang AND x.words = k.words[1:k.k] JOIN f y ON y.lang = k.lang AND y.words = k.words[k.k + 1:len(k.words)]),
+b AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY lang, words ORDER BY score, k) AS nth FROM s),
+q AS (SELECT lang, array_to_string(words, ' ') AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM b WHERE nth = 1)
+SELECT * FROM (SELECT lang, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score FROM q) WHERE rank <= 2000"""
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, formatted and read back from the formatted text."""
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    records = rows.unionByName(more).select("conv_id", "turn", chat_format.as_records("role", "text").alias("record"))
+    found = chat_format.digests(chat_format.format_turns(chat_format.canonical(records, "record", "conv_id", "turn")))
+    return found.withColumnRenamed("key", "conv_id")
+
+
+OP13_SQL = r"""WITH c AS (SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, turn, role, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(turn, role)),
+m AS (SELECT *, '([<\[])(\\*)(/?s>|/?INST\]|/?SYS\]|OUT\]|/?ROLE\]|/TURN\])' AS marks FROM c),
+e AS (SELECT *, length(regexp_replace(text, marks, '\1\\\2\3', 'g')) AS size, length(regexp_replace(role, marks, '\1\\\2\3', 'g')) AS role_size FROM m)
+SELECT conv_id, COUNT(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(COALESCE(SUM(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(COALESCE(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(3 + SUM(size + CASE role WHEN 'user' THEN 15 WHEN 'system' THEN 13 WHEN 'assistant' THEN 11 ELSE 22 + role_size END) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
@@ -169,8 +219,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_sentence_pieces": op9_sentence_pieces,
         "op10_quality_classifier": op10_quality_classifier,
+        "op11_spelling_variants": op11_spelling_variants,
+        "op12_collocations": op12_collocations,
+        "op13_chat_format": op13_chat_format,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1_SQL, "op2_line_dedup": OP2_SQL, "op3_quality_rules": OP3_SQL, "op6_near_dedup": OP6_SQL}
+    return {"op1_warc": OP1_SQL, "op2_line_dedup": OP2_SQL, "op3_quality_rules": OP3_SQL, "op6_near_dedup": OP6_SQL, "op12_collocations": OP12_SQL, "op13_chat_format": OP13_SQL}
