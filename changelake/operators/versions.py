@@ -33,9 +33,11 @@ def history(commits: DataFrame) -> DataFrame:
 def file_inventory(table: DataFrame, *columns: str) -> DataFrame:
     """Rows and bytes of every data file, with its partition columns.
 
-    ``table`` is a file-backed DataFrame; only partition columns are read.
+    ``table`` is a file-backed DataFrame, of which only partition columns are read, or
+    one with the columns ``file_path`` and ``file_bytes`` (``read_log(with_files=True)``).
     """
-    files = table.select(*columns, F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_bytes"))
+    named = "file_path" in table.columns and "file_bytes" in table.columns
+    files = table.select(*columns, "file_path", "file_bytes") if named else table.select(*columns, F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_bytes"))
     return files.groupBy(*columns, "file_path", "file_bytes").agg(rows().alias("record_count"))
 
 

@@ -55,9 +55,10 @@ def load() -> Catalogue:
         lake_queries,
         log_queries,
         order_entry_queries,
+        upkeep_queries,
     )
 
     catalogue = Catalogue()
-    for module in (log_queries, hybrid_queries, order_entry_queries, envelope_queries, lake_queries):
+    for module in (log_queries, hybrid_queries, order_entry_queries, envelope_queries, lake_queries, upkeep_queries):
         module.register(catalogue)
     return catalogue

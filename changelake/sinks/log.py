@@ -7,9 +7,12 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from changelake import files
 from changelake.operators.shaping import all_strings
 from changelake.schemas import REGISTRY
-from changelake.sources.lake import COMMITS, escaped
+from changelake.sources.lake import COMMITS, OTHER, archive_path, escaped
+
+SIDES = ("progress", "dead", f"log/{OTHER}", "partials/expenses")
 
 
 def _write(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
@@ -30,6 +33,19 @@ def append_side(df: DataFrame, base: str, name: str, commit_id: int) -> None:
     _write(df, f"{base}/{name}/commit_id={commit_id}")
 
 
+def clear_commit(spark: SparkSession, base: str, commit_id: int, archive: str | None = None) -> None:
+    """Delete what an attempt that was never listed left under this number, in every table.
+
+    The next attempt may have other tables, and other days in the archive.
+    """
+    for name in (*(f"log/{t}" for t in REGISTRY), *SIDES):
+        files.delete(spark, f"{base}/{name}/commit_id={commit_id}")
+    for table in (*REGISTRY, OTHER) if archive else ():
+        lead = "cdc_table=*/" if table == OTHER else ""
+        for path in files.matching(spark, f"{archive_path(archive, table)}/{lead}year=*/month=*/day=*/commit_id={commit_id}"):
+            files.delete(spark, path)
+
+
 def write_commit(
     spark: SparkSession,
     base: str,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,11 +82,57 @@ def _committed(df: DataFrame, spark: SparkSession, base: str) -> DataFrame:
     return df.filter(F.col("commit_id") <= newest)
 
 
-def read_log(spark: SparkSession, base: str, table: str = "expenses") -> DataFrame:
-    """The committed change log of one registered table."""
-    schema = T.StructType([*REGISTRY[table].log_schema.fields, COMMIT_ID])
-    rows = _committed(_parquet(spark, f"{base}/log/{table}", schema), spark, base)
-    return rows.withColumns({c: _unescaped(F.col(c)) for c in REGISTRY[table].partition_by})
+class Segment(NamedTuple):
+    """Commits ``first`` to ``last`` in few large files."""
+
+    first: int
+    last: int
+    bytes: int
+
+
+SEGMENTS = T.StructType([T.StructField(f, T.LongType()) for f in Segment._fields])
+
+
+def segment_path(base: str, table: str, first: int, last: int) -> str:
+    return f"{base}/segments/{table}/segment={first}-{last}"
+
+
+def segments(spark: SparkSession, base: str, table: str) -> list[Segment]:
+    """The listed segments that no larger one replaces, in order; few, as compaction joins them by tiers."""
+    listed = [Segment(*r) for r in _parquet(spark, f"{base}/segment_list/{table}/*", SEGMENTS).collect()]
+    return sorted(s for s in listed if not any(o != s and o.first <= s.first and s.last <= o.last for o in listed))
+
+
+def log_fields(table: str) -> T.StructType:
+    return T.StructType([*REGISTRY[table].log_schema.fields, COMMIT_ID])
+
+
+def log_part(spark: SparkSession, base: str, table: str) -> DataFrame:
+    """The commit folders of one registered table that are still there, committed or not."""
+    return _parquet(spark, f"{base}/log/{table}", log_fields(table))
+
+
+def read_log(spark: SparkSession, base: str, table: str = "expenses", with_files: bool = False) -> DataFrame:
+    """The committed change log of one registered table.
+
+    Compacted commits are read from their segments, the rest from their folders.
+    ``with_files`` adds each row's ``file_path`` and ``file_bytes``.
+    """
+    found = segments(spark, base, table)
+    rows = _committed(log_part(spark, base, table), spark, base)
+    parts = [rows.filter(F.col("commit_id") > found[-1].last) if found else rows]
+    if found:
+        paths = [segment_path(base, table, s.first, s.last) for s in found]
+        parts.append(spark.read.schema(log_fields(table)).option("basePath", f"{base}/segments/{table}").parquet(*paths))
+    more = {"file_path": F.col("_metadata.file_path"), "file_bytes": F.col("_metadata.file_size")} if with_files else {}
+    parts = [p.select(*log_fields(table).fieldNames(), *[c.alias(n) for n, c in more.items()]) for p in parts]
+    log = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return log.withColumns({c: _unescaped(F.col(c)) for c in REGISTRY[table].partition_by})
+
+
+def read_partials(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
+    """Committed aggregates of the expenses."""
+    return _committed(_parquet(spark, f"{base}/partials/expenses", T.StructType([*schema.fields, COMMIT_ID])), spark, base)
 
 
 def register_log(spark: SparkSession, base: str, prefix: str = "") -> list[str]:

@@ -2,7 +2,7 @@
 
 Micro-batch ``b`` becomes commit ``b + 1``.  Rows are written first and the
 commit is listed last; a batch that fails is replayed by Spark from its
-checkpoint and replaces what it had written.  Keep the checkpoint with the log
+checkpoint and clears what it had written under its number in any table.  Keep the checkpoint with the log
 it feeds: commit numbers continue from it, and a query that would replace a
 commit it did not write is refused.  A change without a time gets the time its
 body arrived, which a replay finds again.
@@ -21,7 +21,8 @@ from changelake.operators.envelope import DATA, DEAD, PROGRESS, classify, split,
 from changelake.operators.shaping import typed_rows
 from changelake.schemas import META_COLUMNS, REGISTRY
 from changelake.sinks.archive import write_archive
-from changelake.sinks.log import append_log, append_side, write_commit
+from changelake.sinks.log import append_log, append_side, clear_commit, write_commit
+from changelake.sinks.partials import write_partials
 from changelake.sources.lake import OTHER, read_commits
 
 # How much one micro-batch takes and how long it may wait.
@@ -44,9 +45,12 @@ def write_batch(
         target = F.when(F.col("kind") == DATA, F.col("_target")).otherwise(F.col("kind"))
         counts = {r["target"]: r["n"] for r in events.groupBy(target.alias("target")).agg(F.count(F.lit(1)).alias("n")).collect()}
         found = split(events)
+        clear_commit(batch.sparkSession, base, commit_id, archive)
         for table in (t for t in REGISTRY if t in counts):
             rows = typed_rows(found.rows, table)
             append_log(rows, base, table, commit_id)
+            if table == "expenses":
+                write_partials(rows, base, commit_id)
             if archive:
                 write_archive(rows.drop("feed"), archive, table, F.col("cdc_ts"), commit_id)
         if OTHER in counts:
@@ -66,17 +70,19 @@ def write_batch(
     return counts
 
 
-def refuse_old_commit(batch: DataFrame, base: str, commit_id: int, writer: str | None) -> None:
-    """Stop a query whose checkpoint is older than the log.
+def is_listed(batch: DataFrame, base: str, commit_id: int, writer: str | None) -> bool:
+    """Whether a query's first batch is a replay of a commit it has already listed.
 
-    Only the newest commit can be a replay, and only by the query that wrote it.
-    Anything else means that the checkpoint was lost or belongs to another log;
-    writing the commit would replace rows that are already committed.
+    Only the newest commit can be one, and only by the query that wrote it.  It holds the
+    same offsets, so there is nothing to write.  Any other number that is not new means
+    that the checkpoint was lost or belongs to another log: writing would replace rows that
+    are already committed, so the query is stopped.
     """
     commits = read_commits(batch.sparkSession, base)
     newest, last = commits.agg(F.max("commit_id"), F.max_by("writer", "commit_id")).first()
     if newest is not None and (commit_id < newest or commit_id == newest and writer != last):
         raise ValueError(f"the checkpoint continues at commit {commit_id}, the log already has {newest}")
+    return newest is not None and commit_id == newest
 
 
 def run_to_log(
@@ -99,9 +105,10 @@ def run_to_log(
         nonlocal started
         # The id is kept in the checkpoint, so it outlives restarts.
         writer = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        if not started:
-            refuse_old_commit(batch, base, batch_id + 1, writer)
-            started = True
+        replayed = not started and is_listed(batch, base, batch_id + 1, writer)
+        started = True
+        if replayed:
+            return
         write_batch(batch, base, batch_id + 1, ingest_ts, archive, writer)
 
     return (
