@@ -203,27 +203,67 @@ def test_suffix_dedup_odd_rows(odd, empty):
     assert suffix_dedup.dedup(empty).count() == 0
 
 
-def test_suffix_dedup_sorts_no_unbounded_group(spark, monkeypatch):
-    rng = np.random.default_rng(8)
-    noise = lambda n: bytes(rng.integers(97, 123, n).astype(np.uint8)).decode()
-    passage = noise(200)
-    docs = [(i, noise(60) + passage + noise(60)) for i in range(suffix_dedup.HOT_CONTEXTS + 300)]
-    sorting, largest = suffix_dedup._sorted, []
-
-    def watched(contexts):
-        largest.append(contexts.groupBy("__hash").count().agg({"count": "max"}).first()[0] or 0)
-        return sorting(contexts)
-
-    monkeypatch.setattr(suffix_dedup, "_sorted", watched)
-    got = {r.doc_id: bytes(r.text).decode() for r in suffix_dedup.dedup(spark.createDataFrame(docs, "doc_id long, text string"), as_bytes=True).collect()}
-    seen, want = set(), {}
-    for i, t in docs:
-        strings = [t[s : s + 50] for s in range(len(t) - 49)]
-        gone = {s + k for s, x in enumerate(strings) if x in seen for k in range(50)}
-        want[i] = "".join(c for n, c in enumerate(t) if n not in gone)
-        seen.update(strings)
-    assert got == want and len(want[1]) < 130
-    assert max(largest) <= suffix_dedup.HOT_CONTEXTS
+def brute_spans(docs, length=suffix_dedup.LENGTH):
+    """What every document keeps: bytes outside all strings that also start in a smaller id."""
+    least = {}
+    for i, text in docs:
+        for at in range(len(text) - length + 1):
+            s = text[at : at + length]
+            least[s] = min(i, least.get(s, i))
+    kept = {}
+    for i, text in docs:
+        gone = np.zeros(len(text), bool)
+        for at in range(len(text) - length + 1):
+            if least[text[at : at + length]] < i:
+                gone[at : at + length] = True
+        kept[i] = bytes(np.frombuffer(text, np.uint8)[~gone])
+    return kept
+
+
+def noise_of(seed):
+    rng = np.random.default_rng(seed)
+    return lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+
+
+def test_suffix_dedup_of_many_contexts_under_one_anchor(spark):
+    noise = noise_of(7)
+    passage = noise(80)
+    docs = [(i, noise(60) + passage + noise(60)) for i in range(3000)]
+    docs += [(i, "ab" * 40 + noise(i % 50) + "ab" * 60) for i in range(3000, 3040)]
+    expected = brute_spans([(i, t.encode()) for i, t in docs])
+    found = suffix_dedup.dedup(spark.createDataFrame(docs, "doc_id long, text string").repartition(7), as_bytes=True).collect()
+    assert {r.doc_id: bytes(r.text) for r in found} == expected
+    assert all(r.n_removed >= 80 for r in found if 0 < r.doc_id < 3000)
+
+
+def test_suffix_dedup_of_long_texts_is_cut_where_it_does_not_show(spark):
+    noise, block = noise_of(8), suffix_dedup.BLOCK_BYTES
+    passages = [noise(200) for _ in range(6)]
+    long = bytearray(noise(5 * block + 77).encode())
+    for k, (passage, shift) in enumerate(zip(passages, (-199, -100, -50, -49, -1, 0))):
+        at = (k % 5 + 1) * block + shift - 1000 * (k // 5)
+        long[at : at + 200] = passage.encode()
+    docs = [(1, " ".join(passages)), (2, long.decode()), (3, noise(10) + long.decode())]
+    found = {r.doc_id: r for r in suffix_dedup.dedup(spark.createDataFrame(docs, "doc_id long, text string"), as_bytes=True).collect()}
+    assert (found[2].n_removed, found[2].n_spans) == (1200, 6)
+    assert bytes(found[3].text).decode() == docs[2][1][:10] and found[3].n_spans == 1
+
+
+def test_suffix_runs_hold_equal_bytes_only():
+    import pyarrow as pa
+
+    noise = noise_of(9)
+    shared = noise(60)
+    contexts = [(noise(5) + shared + noise(5)).encode() for _ in range(40)]
+    rows = pa.table({"__hash": [1] * 40, "__digest": list(range(40)), "__context": contexts, "__least": list(range(40))})
+    everything = np.full(1 << (suffix_dedup.CODE_BITS - 6), np.uint64(2**64 - 1))
+    runs = suffix_dedup._runs(rows, everything).to_pylist()
+    assert sum(len(r["__members"]) for r in runs) == 40 * 21
+    for r in runs:
+        assert {contexts[m["digest"]][m["start"] : m["start"] + 50] for m in r["__members"]} == {r["__string"]}
+        assert r["__low"] == min(m["least"] for m in r["__members"]) and r["__high"] == max(m["least"] for m in r["__members"])
+    assert len({r["__string"] for r in runs}) == len(runs)
+    assert suffix_dedup._runs(rows, np.zeros_like(everything)).num_rows == 0
 
 
 def test_suffix_sort():
