@@ -10,7 +10,9 @@ row per task; its occurrences meet that row through ``join_counted``.
 
 Defined results: a null text has no lines and stays null; texts of fewer than three
 lines stay as they are; windows without any word never count; rows equal in id and
-text are one document and change alike; null ids come first.
+text are one document and change alike; null ids come first; an empty table gives an
+empty result; columns of ``df`` named like an added one are replaced.  Time grows with a
+text's lines, in proportion.
 """
 
 from __future__ import annotations
@@ -51,15 +53,16 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     gone = covered(df, key, text).withColumnsRenamed({"__id": "__gone_id", "__text_hash": "__gone_hash"})
     marked = df.withColumn("__text_hash", F.xxhash64(text))
     met = marked.join(gone, marked[key].eqNullSafe(gone["__gone_id"]) & (marked["__text_hash"] == gone["__gone_hash"]), "left")
-    lines = F.split(F.col(text), "\n", -1)
-    places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
-    left = F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n")
     none = F.col("__gone").isNull()
+    # A generator's result is not folded back: the lines are split once, not for every line kept.
+    met = met.withColumn("__lines", F.explode(F.array(F.when(~none, F.split(F.col(text), "\n", -1)))))
+    places = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__gone"))
+    left = F.array_join(F.transform(places, lambda i: F.get("__lines", i)), "\n")
     starts = F.filter(F.col("__gone"), lambda p, i: (i == 0) | (F.get("__gone", i - 1) != p - 1))
     return met.select(
         *[c for c in df.columns if c not in (text, "n_lines", "n_removed", "n_spans")],
         F.when(none, F.col(text)).otherwise(left).alias(text),
-        F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+        F.when(F.col(text).isNull(), 0).otherwise(F.size(F.split(F.col(text), "\n", -1))).cast("long").alias("n_lines"),
         F.when(none, 0).otherwise(F.size("__gone")).cast("long").alias("n_removed"),
         F.when(none, 0).otherwise(F.size(starts)).cast("long").alias("n_spans"),
     ).select(*df.columns, *[c for c in ("n_lines", "n_removed", "n_spans") if c not in df.columns])

@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import time
 import zlib
 
 import numpy as np
@@ -203,6 +204,18 @@ def test_suffix_dedup_odd_rows(odd, empty):
     assert suffix_dedup.dedup(empty).count() == 0
 
 
+def test_line_dedup_takes_time_in_proportion_to_lines(spark):
+    lines = [f"line {i}" for i in range(200_000)]
+    docs = [(1, "\n".join(lines)), (2, "\n".join(["a", "b", "c", *lines[100:103], "d"])), (None, "\n".join(lines[5:8]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "'x' AS n_lines", "'y' AS n_spans")
+    line_dedup.dedup(df.filter("doc_id = 2")).collect()
+    began = time.monotonic()
+    found = {r.doc_id: r for r in line_dedup.dedup(df).collect()}
+    assert time.monotonic() - began < 20
+    assert found[None].text == docs[2][1] and found[2].text == "a\nb\nc\nd" and (found[2].n_lines, found[2].n_removed, found[2].n_spans) == (7, 3, 1)
+    assert found[1].text == "\n".join(lines[:5] + lines[8:]) and (found[1].n_lines, found[1].n_removed) == (200_000, 3)
+
+
 def brute_spans(docs, length=suffix_dedup.LENGTH):
     """What every document keeps: bytes outside all strings that also start in a smaller id."""
     least = {}
