@@ -14,7 +14,9 @@ with the word behind it) that encode independently; chunks recur, and each worke
 remembers a bounded number of them.
 
 Defined results: a null or empty text has no ids and decodes to the empty text;
-control ids decode to nothing.
+control ids decode to nothing; rows are handled one by one, so repeated rows and ids stay
+as they are; an empty table gives an empty result; a column of ``df`` named like the new
+one is replaced.
 """
 
 from __future__ import annotations
@@ -68,6 +70,11 @@ class PieceModel:
                 self.surface.append(piece.replace(SPACE, " ").encode())
                 self.ids[piece] = i
                 self.scores[piece] = lib.get_score(i)
+        #: Surfaces, then surfaces without the space in front of a text.
+        behind = (x[1:] if x[:1] == b" " and not raw else x for x, raw in zip(self.surface, self.raw_byte))
+        self.surfaces = pa.array([*self.surface, *behind], pa.large_binary())
+        self.apart = self.raw_byte & np.array([x[:1] >= b"\x80" for x in self.surface])
+        self.apart[[*self.controls, self.unknown]] = True
         # A piece that merging cannot rebuild never appears in a result.
         self.ids = {p: i for p, i in self.ids.items() if len(p) == 1 or self.merged(p) == [p]}
         self.matcher = ahocorasick.Automaton()
@@ -191,6 +198,29 @@ class PieceModel:
             return text[1:]
         return text
 
+    def decode_lists(self, lists: pa.ListArray) -> pa.Array:
+        """The texts of many lists of ids: surfaces are taken from one dictionary and lie one behind the other.
+
+        Lists with controls, unknown ids or raw bytes of a longer character are decoded one by one.
+        """
+        flat = lists.flatten().to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
+        odd = np.zeros(len(lists), bool)
+        at = np.flatnonzero(self.apart[flat])
+        odd[np.searchsorted(ends, at, side="right") - 1] = True
+        filled = np.flatnonzero(np.diff(ends))
+        flat = flat.copy()
+        flat[ends[filled]] += len(self.surface)  # the first surface of a text loses its space
+        taken = self.surfaces.take(pa.array(flat))
+        offsets = np.frombuffer(taken.buffers()[1], np.int64, len(flat) + 1, taken.offset * 8)[ends]
+        texts = pa.Array.from_buffers(pa.large_string(), len(lists), [None, pa.py_buffer(offsets), taken.buffers()[2]])
+        if odd.any():
+            number = np.arange(len(lists))
+            number[odd] = len(lists) + np.arange(odd.sum())
+            one_by_one = [self.decode(lists[i].as_py() or []) for i in np.flatnonzero(odd).tolist()]
+            texts = pa.concat_arrays([texts, pa.array(one_by_one, pa.large_string())]).take(pa.array(number))
+        return texts.cast(pa.string())
+
     def _decode_broken(self, ids: list[int]) -> str:
         out: list[bytes] = []
         run = bytearray()
@@ -268,8 +298,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(at, ROWS_AT_ONCE)
                 column = batch.column(batch.schema.get_field_index(ids))
-                texts = pa.array([pieces.decode(x or []) for x in column.to_pylist()], pa.string())
-                yield _replaced(batch, "", text, texts)
+                yield _replaced(batch, "", text, pieces.decode_lists(column))
 
     ship(df.sparkSession)
     return df.mapInArrow(run, _schema(df, "", text, T.StringType()))
