@@ -33,10 +33,10 @@ from pyspark.sql import types as T
 
 PIECES = 40_000  # mean of a partition
 ROUNDS = 4
-CACHED_WORDS = 500_000  # per worker
+CACHED_WORDS = 800_000  # per worker
 WORDS_AT_ONCE = 20_000
 MARKS = {b".", b",", b";", b":", b"!", b"?"}
-ROWS_AT_ONCE = 500
+ROWS_AT_ONCE = 2_000  # new words are learnt together
 END = np.zeros(1, dtype="<u4").tobytes()
 
 
@@ -104,7 +104,7 @@ class WordIds:
     def encode(self, texts: list[str]) -> list[bytes]:
         lists = [t.encode("utf-8", "replace").lower().replace(b"\n", b" ").split(b" ") for t in texts]
         need = set().union(*lists)
-        missing = [w for w in need if w not in self.words]
+        missing = list(need.difference(self.words))
         if len(self.words) + len(missing) > CACHED_WORDS:
             self.words.clear()
             missing = list(need)
@@ -133,18 +133,18 @@ def pieces(df: DataFrame, tokenizer: str, capacity: int, text: str = "text") ->
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(at, ROWS_AT_ONCE)
                 texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-                rows, piece, start, length, ids = [], [], [], [], []
-                for i, packed in enumerate(words.encode([t or "" for t in texts])):
-                    packed += END
-                    for k, first in enumerate(range(0, len(packed) // 4, capacity)):
-                        part = packed[4 * first : 4 * (first + capacity)]
-                        rows.append(i)
-                        piece.append(k)
-                        start.append(first)
-                        length.append(len(part) // 4)
-                        ids.append(part)
-                rest = [batch.column(f.name).take(pa.array(rows, pa.int64())) for f in kept]
-                new = [pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(ids, pa.binary())]
+                packed = words.encode([t or "" for t in texts])
+                sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4 + 1
+                number = -(-sizes // capacity)
+                rows = np.repeat(np.arange(len(packed)), number)
+                piece = np.arange(len(rows)) - np.repeat(np.cumsum(number) - number, number)
+                start = piece * capacity
+                length = np.minimum(sizes[rows] - start, capacity)
+                # The pieces of all texts lie one behind the other.
+                ends = np.append(0, np.cumsum(4 * length)).astype(np.int32)
+                ids = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(END.join([*packed, b""]))])
+                rest = [batch.column(f.name).take(pa.array(rows)) for f in kept]
+                new = [pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), ids]
                 yield pa.RecordBatch.from_arrays(rest + new, [f.name for f in kept] + names)
 
     ship(df.sparkSession)
