@@ -37,6 +37,9 @@ from changelake.schemas import DELETE, INSERT, META_COLUMNS, OPERATION_CODES, RE
 
 TABLE_MEMBER = "__table__"
 
+# The columns that say where a body came from.
+ORIGIN = ("source", "position")
+
 DATA, PROGRESS, DEAD = "data", "progress", "dead"
 
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -62,8 +65,10 @@ def unpack(raw: DataFrame) -> DataFrame:
     """One row per event: feed, event, the batch's own table name, bad body text.
 
     The body text itself is kept only where it is not JSON; otherwise a large
-    batch would be copied into every event taken from it.
+    batch would be copied into every event taken from it.  Where a body came from
+    (``source``, ``position``) goes with its events if the feed says so.
     """
+    origin = _origin(raw)
     feed = F.col("feed") if "feed" in raw.columns else F.lit("default")
     arrived = F.date_format("received_at", TIME_FORMAT) if "received_at" in raw.columns else F.lit(None).cast("string")
     body = F.col("_body")
@@ -73,18 +78,23 @@ def unpack(raw: DataFrame) -> DataFrame:
 
     listed = F.transform(F.try_variant_get(body, "$", "array<variant>"), events_of)
     return (
-        raw.select(feed.alias("feed"), arrived.alias("arrived"), "value", F.try_parse_json("value").alias("_body"))
+        raw.select(feed.alias("feed"), *origin, arrived.alias("arrived"), "value", F.try_parse_json("value").alias("_body"))
         .select(
             "feed",
+            *origin,
             "arrived",
             "_body",
             F.when(body.isNull(), F.col("value")).alias("bad_text"),
             field(body, TABLE_MEMBER, "string").alias("batch_table"),
         )
-        .select("feed", "arrived", "bad_text", "batch_table", F.explode(F.coalesce(F.flatten(listed), events_of(body))).alias("event"))
+        .select("feed", *origin, "arrived", "bad_text", "batch_table", F.explode(F.coalesce(F.flatten(listed), events_of(body))).alias("event"))
     )
 
 
+def _origin(df: DataFrame) -> list[str]:
+    return [c for c in ORIGIN if c in df.columns]
+
+
 def _shape(event: Column) -> Column:
     """Which kind of envelope an event is, most specific first."""
     payload = field(event, "payload")
@@ -155,9 +165,11 @@ def classify(events: DataFrame, ingest_ts: Column | str | None = None) -> DataFr
     own_time = F.coalesce(
         F.when(is_coded, field(envelope, "ts_ms", "string")), F.when(~bare, field(event, "updated", "string"))
     )
+    origin = [F.col(c) for c in _origin(events)]
     described = _at_once(
         opened.withColumn("code", field(envelope, "op", "string")),
         F.col("feed"),
+        *origin,
         F.coalesce(_given(ingest_ts), F.col("arrived"), F.date_format(F.current_timestamp(), TIME_FORMAT)).alias("ingest_text"),
         F.col("bad_text"),
         event,
@@ -170,6 +182,7 @@ def classify(events: DataFrame, ingest_ts: Column | str | None = None) -> DataFr
     )
     judged = described.select(
         "feed",
+        *origin,
         "ingest_text",
         "bad_text",
         "event",
@@ -189,6 +202,7 @@ def classify(events: DataFrame, ingest_ts: Column | str | None = None) -> DataFr
     return _at_once(
         judged,
         F.col("feed"),
+        *origin,
         kind.alias("kind"),
         F.col("reason"),
         *[F.col(c) for c in META_COLUMNS],

@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 from changelake import workdir
 from changelake.operators import reports as R
 from changelake.operators import versions as V
+from changelake.plans import envelope_fixtures as EF
+from changelake.plans import fixtures as X
 from changelake.plans.catalogue import Catalogue
-from changelake.plans.envelope_queries import shown_rows
-from changelake.plans.lake_queries import COMMITS, mixed_feed, new_database, normalized_log, written_log
-from changelake.plans.log_queries import IMAGE, state_view
+from changelake.plans.envelope_queries import INGEST_TS, PAIR_LOG, shown_rows
+from changelake.plans.lake_queries import COMMITS, FIRST_STAMP, SECOND_STAMP, mixed_feed, new_database, normalized_log, snapshot_table, written_log
+from changelake.plans.log_queries import AUDITED_EXPENSE, IMAGE, state_view
 from changelake.plans.oracle_views import expenses as sql
 from changelake.schemas import EXPENSES
 from changelake.sinks import catalog_log, compaction, image, partials
 from changelake.sinks import log as log_sink
-from changelake.sources import lake
+from changelake.sinks import snapshot
+from changelake.sources import catalog, events, lake
 from changelake.streaming import ingest
 
 
@@ -95,6 +98,45 @@ def appended_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).groupBy("shopping_type").agg(R.rows().alias("row_count"), R.total().alias("total"))
 
 
+def resumed_log(spark: SparkSession, sf_dir: str) -> str:
+    """Half of the feed landed, its checkpoint lost, then all of it offered to a query that starts anew."""
+    landing, base = workdir.fresh(spark, "landing"), workdir.fresh(spark, "resumed")
+    feed = X.spread(X.changes(spark, sf_dir)).select("seq", EF.pair_event(F.col("seq"), X.change_time()).alias("value"))
+    for part, resume in ((F.col("seq") <= 1, False), (F.col("seq") > 1, True)):
+        feed.filter(part).write.mode("append").partitionBy("seq").text(landing)
+        files = catalog.list_output(spark, landing, n=1, pattern="*.txt").first()["total_files"]
+        stream = events.stream_events(spark, landing, max_files=max(1, -(-files // 2)))
+        ingest.run_available(stream, base, workdir.fresh(spark, "checkpoint"), INGEST_TS, resume=resume)
+    return base
+
+
+def audited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes of one expense, from a log that is partly compacted."""
+    base = written_log(spark, sf_dir)
+    compaction.compact(spark, base, keep=2)
+    return R.audit_trail(lake.read_log(spark, base), AUDITED_EXPENSE).withColumn("cdc_ts", F.col("cdc_ts").cast("timestamp_ntz"))
+
+
+def counted_by_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts that the catalog keeps of a snapshot and of a log."""
+    live, log = snapshot_table(spark), f"`{new_database(spark)}`.`expenses`"
+    snapshot.materialize_snapshot(X.live(spark, sf_dir), live, FIRST_STAMP)
+    spark.sql(catalog_log.create_log_table_sql(log, "expenses"))
+    catalog_log.append_commit(normalized_log(spark, sf_dir), log, 1)
+    catalog.analyze(spark, [live, log])
+    found = catalog.estimated_row_counts(spark, [live, log])
+    return found.withColumn("table_name", F.regexp_extract("table_name", r"`(\w+)`$", 1))
+
+
+def snapshot_by_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot of the first images brought to the newest commit by what the log says has changed."""
+    base, table = written_log(spark, sf_dir), snapshot_table(spark)
+    snapshot.materialize_snapshot(X.first_live(spark, sf_dir), table, FIRST_STAMP)
+    snapshot.mark_version(spark, table, 1)
+    snapshot.refresh_by_log(X.live(spark, sf_dir), lake.read_log(spark, base), table, max(COMMITS), SECOND_STAMP)
+    return spark.table(table)
+
+
 def register(c: Catalogue) -> None:
     log_columns = f"{IMAGE}, cdc_table, cdc_operation, cdc_ts, CAST(commit_id AS BIGINT) AS commit_id"
     c.add("log_after_compaction", lambda s, d: shown_rows(lake.read_log(s, compacted_log(s, d))), sql(f"SELECT {log_columns} FROM cdc"))
@@ -133,3 +175,20 @@ CAST(SUM(expense_amount) AS DOUBLE) / COUNT(expense_amount) AS amount_avg, MIN(c
         appended_twice,
         sql("SELECT shopping_type, COUNT(*) AS row_count, CAST(SUM(expense_amount) AS DOUBLE) AS total FROM cdc GROUP BY shopping_type"),
     )
+    c.add("log_after_lost_checkpoint", lambda s, d: shown_rows(lake.read_log(s, resumed_log(s, d)), "commit_id"), PAIR_LOG)
+    c.add(
+        "audit_trail_written",
+        audited,
+        sql(f"""SELECT expense_id, description, CAST(expense_amount AS DOUBLE) AS expense_amount, payment_method, cdc_operation, cdc_ts
+FROM cdc WHERE expense_id = '{AUDITED_EXPENSE}' ORDER BY cdc_ts"""),
+    )
+    c.add(
+        "estimated_row_counts",
+        counted_by_catalog,
+        sql("SELECT 'expenses_snapshot' AS table_name, COUNT(*) AS row_count FROM live UNION ALL SELECT 'expenses', COUNT(*) FROM cdc"),
+    )
+    c.add(
+        "snapshot_refreshed_by_log",
+        lambda s, d: state_view(snapshot_by_log(s, d)),
+        sql(f"SELECT {IMAGE}, CASE WHEN shopping_type IN (SELECT shopping_type FROM cdc WHERE commit_id > 1) THEN '{SECOND_STAMP}' ELSE '{FIRST_STAMP}' END AS snapshot_timestamp FROM live"),
+    )

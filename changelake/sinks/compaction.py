@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from changelake import files
 from changelake.schemas import REGISTRY
+from changelake.sinks.log import key_filters
 from changelake.sources.lake import SEGMENTS, Segment, escaped, log_part, read_commits, read_log, segment_path, segments
 
 TARGET_BYTES = 128 << 20
@@ -51,7 +52,7 @@ def compact(spark: SparkSession, base: str, table: str = "expenses", target_byte
     before = spark.conf.get(ADVISORY, None)
     spark.conf.set(ADVISORY, str(target_bytes))
     try:
-        writer = rows.write.mode("overwrite").option("compression", "snappy")
+        writer = rows.write.mode("overwrite").option("compression", "snappy").options(**key_filters(spec.keys))
         (writer.partitionBy(*spec.partition_by) if spec.partition_by else writer).parquet(path)
     finally:
         spark.conf.unset(ADVISORY) if before is None else spark.conf.set(ADVISORY, before)

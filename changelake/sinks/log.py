@@ -12,20 +12,29 @@ from changelake.operators.shaping import all_strings
 from changelake.schemas import REGISTRY
 from changelake.sources.lake import COMMITS, OTHER, archive_path, escaped
 
-SIDES = ("progress", "dead", f"log/{OTHER}", "partials/expenses")
+SIDES = ("progress", "dead", "intake", f"log/{OTHER}", "partials/expenses")
+BLOOM_BYTES = 1 << 20
 
 
-def _write(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
+def key_filters(keys: tuple[str, ...]) -> dict[str, str]:
+    """Parquet options for Bloom filters on the keys, each as large as its row group needs up to 1 MB."""
+    sized = {"parquet.bloom.filter.adaptive.enabled": "true", "parquet.bloom.filter.max.bytes": str(BLOOM_BYTES)}
+    return {**sized, **{f"parquet.bloom.filter.enabled#{k}": "true" for k in keys}} if keys else {}
+
+
+def _write(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), keys: tuple[str, ...] = ()) -> None:
     out = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
-    writer = out.write.mode("overwrite").option("compression", "snappy")
+    if keys:
+        out = out.sortWithinPartitions(*partition_by, *keys)
+    writer = out.write.mode("overwrite").option("compression", "snappy").options(**key_filters(keys))
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
 def append_log(df: DataFrame, base: str, table: str, commit_id: int) -> None:
-    """Write one commit's rows of one registered table."""
+    """Write one commit's rows of one registered table, sorted by key so that a key lookup skips most pages."""
     spec = REGISTRY[table]
     rows = df.select(*spec.log_schema.fieldNames()).withColumns({c: escaped(F.col(c)) for c in spec.partition_by})
-    _write(rows, f"{base}/log/{table}/commit_id={commit_id}", spec.partition_by)
+    _write(rows, f"{base}/log/{table}/commit_id={commit_id}", spec.partition_by, spec.keys)
 
 
 def append_side(df: DataFrame, base: str, name: str, commit_id: int) -> None:

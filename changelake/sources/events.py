@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def _feed(lines: DataFrame, feed: str) -> DataFrame:
-    """Lines with the time their file was written, which a replay finds again."""
-    return lines.select(F.lit(feed).alias("feed"), "value", F.col("_metadata.file_modification_time").alias("received_at"))
+    """Lines with the time their file was written, which a replay finds again, and its path."""
+    return lines.select(F.lit(feed).alias("feed"), "value", F.col("_metadata.file_modification_time").alias("received_at"), F.col("_metadata.file_path").alias("source"))
 
 
 def read_events(spark: SparkSession, path: str, feed: str = "default") -> DataFrame:

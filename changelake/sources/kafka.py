@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 
 
 def decode(messages: DataFrame) -> DataFrame:
-    """Binary message values as a feed; the topic names the feed."""
+    """Binary message values as a feed; the topic names the feed, its partition and offset say where a message was."""
     feed = F.col("topic") if "topic" in messages.columns else F.lit("default")
     arrived = [F.col("timestamp").alias("received_at")] if "timestamp" in messages.columns else []
-    return messages.select(feed.alias("feed"), F.col("value").cast("string").alias("value"), *arrived)
+    origin = []
+    if {"topic", "partition", "offset"} <= set(messages.columns):
+        origin = [F.concat_ws("/", "topic", "partition").alias("source"), F.col("offset").cast("bigint").alias("position")]
+    return messages.select(feed.alias("feed"), F.col("value").cast("string").alias("value"), *arrived, *origin)
 
 
 def options(

@@ -34,6 +34,8 @@ DEAD_LETTERS = T.StructType(
     [T.StructField("feed", T.StringType()), T.StructField("reason", T.StringType()), T.StructField("body", T.StringType()), COMMIT_ID]
 )
 
+INTAKE = T.StructType([T.StructField("source", T.StringType()), T.StructField("position", T.LongType()), COMMIT_ID])
+
 OTHER_ROWS = T.StructType(
     [
         T.StructField("feed", T.StringType()),
@@ -155,6 +157,11 @@ def read_progress(spark: SparkSession, base: str) -> DataFrame:
     return _committed(_parquet(spark, f"{base}/progress", MARKERS), spark, base)
 
 
+def read_intake(spark: SparkSession, base: str) -> DataFrame:
+    """What committed batches took in: files, or topic partitions with the last offset."""
+    return _committed(_parquet(spark, f"{base}/intake", INTAKE), spark, base)
+
+
 def read_dead_letters(spark: SparkSession, base: str) -> DataFrame:
     return _committed(_parquet(spark, f"{base}/dead", DEAD_LETTERS), spark, base)
 

@@ -4,7 +4,10 @@ Micro-batch ``b`` becomes commit ``b + 1``.  Rows are written first and the
 commit is listed last; a batch that fails is replayed by Spark from its
 checkpoint and clears what it had written under its number in any table.  Keep the checkpoint with the log
 it feeds: commit numbers continue from it, and a query that would replace a
-commit it did not write is refused.  A change without a time gets the time its
+commit it did not write is refused.  Each commit also keeps what it took in (files, or the
+last offset per topic partition), so ``resume=True`` lets a query whose checkpoint was lost
+go on after the newest commit: it reads its source from the start and leaves out what
+listed commits already have.  A change without a time gets the time its
 body arrived, which a replay finds again.
 """
 
@@ -23,29 +26,41 @@ from changelake.schemas import META_COLUMNS, REGISTRY
 from changelake.sinks.archive import write_archive
 from changelake.sinks.log import append_log, append_side, clear_commit, write_commit
 from changelake.sinks.partials import write_partials
-from changelake.sources.lake import OTHER, read_commits
+from changelake.sources.lake import OTHER, read_commits, read_intake
 
 # How much one micro-batch takes and how long it may wait.
 BATCH_SECONDS = 60
 
 
 def write_batch(
-    batch: DataFrame, base: str, commit_id: int, ingest_ts: str | None = None, archive: str | None = None, writer: str | None = None
+    batch: DataFrame,
+    base: str,
+    commit_id: int,
+    ingest_ts: str | None = None,
+    archive: str | None = None,
+    writer: str | None = None,
+    resume: bool = False,
 ) -> dict[str, int]:
     """Normalize one bounded feed and commit it; returns the row counts.
 
     The classified events are kept while the tables are written from them; the
     table names come from the registry, so their number is fixed.  ``archive``
-    also files the rows under the day of their change.
+    also files the rows under the day of their change.  ``resume`` leaves out events
+    of files or offsets that a listed commit took in.
     """
+    if resume and "source" not in batch.columns:
+        raise ValueError("this feed does not say where its bodies came from, so it cannot go on without its checkpoint")
     stamp = ingest_ts if ingest_ts or "received_at" in batch.columns else datetime.now(timezone.utc).isoformat()
     registered = F.when(F.col("cdc_table").isin(*REGISTRY), F.col("cdc_table")).otherwise(F.lit(OTHER))
-    events = classify(unpack(batch), stamp).withColumn("_target", registered).persist(StorageLevel.MEMORY_AND_DISK)
+    classified = classify(unpack(batch), stamp).withColumn("_target", registered).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        events = _not_taken(classified, base) if resume else classified
         target = F.when(F.col("kind") == DATA, F.col("_target")).otherwise(F.col("kind"))
         counts = {r["target"]: r["n"] for r in events.groupBy(target.alias("target")).agg(F.count(F.lit(1)).alias("n")).collect()}
         found = split(events)
         clear_commit(batch.sparkSession, base, commit_id, archive)
+        if "source" in classified.columns:
+            append_side(_intake(classified), base, "intake", commit_id)
         for table in (t for t in REGISTRY if t in counts):
             rows = typed_rows(found.rows, table)
             append_log(rows, base, table, commit_id)
@@ -66,10 +81,48 @@ def write_batch(
             append_side(found.dead, base, "dead", commit_id)
         write_commit(batch.sparkSession, base, commit_id, counts, "append", None, writer)
     finally:
-        events.unpersist()
+        classified.unpersist()
     return counts
 
 
+def _intake(events: DataFrame) -> DataFrame:
+    """One row per file, or per topic partition with its last offset; bodies without events count as not taken."""
+    position = F.col("position") if "position" in events.columns else F.lit(None).cast("bigint")
+    return events.groupBy("source").agg(F.max(position).alias("position"))
+
+
+def _not_taken(events: DataFrame, base: str) -> DataFrame:
+    """Events from files or offsets that no listed commit has.
+
+    Only the batch's own sources are looked up, at most as many as a batch has files or
+    topic partitions.  Events that do not say where they came from stay.
+    """
+    own = events.select("source").distinct()
+    taken = read_intake(events.sparkSession, base).join(own, "source", "left_semi").groupBy("source").agg(F.max("position").alias("_taken_to"))
+    later = F.col("position") > F.col("_taken_to") if "position" in events.columns else F.lit(False)
+    joined = events.join(taken.withColumn("_taken", F.lit(True)), "source", "left")
+    return joined.filter(F.col("_taken").isNull() | later).select(*events.columns)
+
+
+def first_commit(batch: DataFrame, base: str, batch_id: int, writer: str | None) -> int:
+    """Commit number of a resuming query's batch 0: one after the log it found.
+
+    A query lists every batch, so its first commit tells the number.  One that has no
+    commit yet must be at its first batch, and what the log has must say what it took in.
+    """
+    spark = batch.sparkSession
+    commits = read_commits(spark, base)
+    first, newest = commits.agg(F.min(F.when(F.col("writer") == writer, F.col("commit_id"))), F.max("commit_id")).first()
+    if first is not None or newest is None:
+        return first or 1
+    if batch_id:
+        raise ValueError(f"the checkpoint is at batch {batch_id}, but the log has no commit of this query")
+    untold = commits.filter(F.size("summary") > 0).join(read_intake(spark, base), "commit_id", "left_anti")
+    if not untold.isEmpty():
+        raise ValueError("the log has commits that do not say what they took in; their rows would be doubled")
+    return newest + 1
+
+
 def is_listed(batch: DataFrame, base: str, commit_id: int, writer: str | None) -> bool:
     """Whether a query's first batch is a replay of a commit it has already listed.
 
@@ -92,24 +145,28 @@ def run_to_log(
     trigger: dict | None = None,
     ingest_ts: str | None = None,
     archive: str | None = None,
+    resume: bool = False,
 ) -> StreamingQuery:
     """Start landing a streaming feed below ``base``, and in ``archive`` if given.
 
     ``trigger`` is what ``DataStreamWriter.trigger`` takes; the default starts
-    a batch every minute.
+    a batch every minute.  With ``resume`` a query with a new checkpoint goes on after
+    the newest commit; give it at every later start of that query too.
     """
     chosen = trigger or {"processingTime": f"{BATCH_SECONDS} seconds"}
-    started = False
+    started, zero = False, 1  # zero: commit number of batch 0
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        nonlocal started
+        nonlocal started, zero
         # The id is kept in the checkpoint, so it outlives restarts.
         writer = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        replayed = not started and is_listed(batch, base, batch_id + 1, writer)
+        if resume and not started:
+            zero = first_commit(batch, base, batch_id, writer)
+        replayed = not started and is_listed(batch, base, zero + batch_id, writer)
         started = True
         if replayed:
             return
-        write_batch(batch, base, batch_id + 1, ingest_ts, archive, writer)
+        write_batch(batch, base, zero + batch_id, ingest_ts, archive, writer, resume)
 
     return (
         stream.writeStream.foreachBatch(land)
@@ -126,9 +183,10 @@ def run_available(
     ingest_ts: str | None = None,
     timeout: int | None = None,
     archive: str | None = None,
+    resume: bool = False,
 ) -> StreamingQuery:
     """Land everything that is there now, then stop; ``timeout`` (seconds) is off unless given."""
-    query = run_to_log(stream, base, checkpoint, {"availableNow": True}, ingest_ts, archive)
+    query = run_to_log(stream, base, checkpoint, {"availableNow": True}, ingest_ts, archive, resume)
     if timeout is None:
         query.awaitTermination()
     elif not query.awaitTermination(timeout):

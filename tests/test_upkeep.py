@@ -10,9 +10,9 @@ from changelake.operators import state as S
 from changelake.operators import versions as V
 from changelake.plans.lake_queries import new_database, written_log
 from changelake.plans.upkeep_queries import summed_log
-from changelake.sinks import catalog_log, compaction, image, partials
+from changelake.sinks import catalog_log, compaction, image, partials, snapshot
 from changelake.sinks import log as log_sink
-from changelake.sources import lake
+from changelake.sources import catalog, events, kafka, lake
 from changelake.streaming import ingest
 
 SF = "/root/testdata/sf0.001"
@@ -181,3 +181,147 @@ def test_a_replayed_append_counts_once(spark, tmp_path):
         catalog_log.append_commit(rows, name, commit_id)
     assert {(r.commit_id, r["count"]) for r in spark.table(name).groupBy("commit_id").count().collect()} == {(1, 5), (2, 5)}
     assert R.row_count(spark.table(name)).first()[0] == 10
+
+
+def start(spark, landing, base, checkpoint, **more):
+    stream = events.stream_events(spark, str(landing), max_files=2)
+    return ingest.run_available(stream, str(base), str(checkpoint), "2024-06-01T00:00:00Z", timeout=120, **more)
+
+
+def test_a_query_without_its_checkpoint_goes_on(spark, tmp_path, monkeypatch):
+    landing, base = tmp_path / "landing", tmp_path / "lake"
+    landing.mkdir()
+
+    def add(*numbers):
+        for n in numbers:
+            (landing / f"{n}.txt").write_text("\n".join(json.dumps(e) for e in (event(f"k{n}", n, n), {"w_id": n, "w_name": "x"})) + "\n")
+
+    def seen():
+        found = [r.expense_id for r in lake.read_log(spark, str(base)).collect()]
+        assert lake.read_log(spark, str(base), "warehouse").count() == len(found)
+        return sorted(found)
+
+    add(1, 2, 3)
+    start(spark, landing, base, tmp_path / "first")
+    add(4)
+    start(spark, landing, base, tmp_path / "second", resume=True)  # the first checkpoint is lost
+    assert seen() == ["k1", "k2", "k3", "k4"]
+    start(spark, landing, base, tmp_path / "second", resume=True)  # nothing new
+    add(5, 6, 7)
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "write_commit", lambda *a: 1 / 0)
+        with pytest.raises(Exception):
+            start(spark, landing, base, tmp_path / "second", resume=True)
+    start(spark, landing, base, tmp_path / "second", resume=True)
+    assert seen() == [f"k{n}" for n in range(1, 8)]
+    commits = lake.read_commits(spark, str(base))
+    ids = sorted(r.commit_id for r in commits.collect())
+    assert ids == list(range(1, len(ids) + 1)) and commits.select("writer").distinct().count() == 2
+    add(8)
+    with pytest.raises(Exception, match="the log already has"):  # the first checkpoint turns up again
+        start(spark, landing, base, tmp_path / "first", resume=True)
+    assert seen() == [f"k{n}" for n in range(1, 8)]
+
+
+def test_a_replay_of_a_resumed_commit_writes_nothing(spark, tmp_path):
+    base = str(tmp_path / "lake")
+    batch = spark.createDataFrame([(json.dumps(event("a", 1, 1)), "f")], "value string, source string")
+    ingest.write_batch(batch, base, 1, "2024-06-01T00:00:00Z", None, "old")
+    assert ingest.first_commit(batch, base, 0, "new") == 2
+    with pytest.raises(ValueError, match="no commit of this query"):
+        ingest.first_commit(batch, base, 3, "new")
+    assert sum(ingest.write_batch(batch, base, 2, "2024-06-01T00:00:00Z", None, "new", True).values()) == 0
+    assert ingest.first_commit(batch, base, 5, "new") == 2 and ingest.is_listed(batch, base, 2, "new")
+    assert len(keys(lake.read_log(spark, base))) == 1
+
+
+def test_offsets_and_unknown_sources(spark, tmp_path):
+    base, schema = str(tmp_path / "lake"), "topic string, partition int, offset bigint, value binary"
+
+    def messages(*where):
+        return kafka.decode(spark.createDataFrame([("t", p, o, json.dumps(event(f"{p}-{o}", 1, 1)).encode()) for p, o in where], schema))
+
+    ingest.write_batch(messages((0, 1), (0, 2), (1, 7)), base, 1)
+    ingest.write_batch(messages((0, 1), (0, 2), (0, 3), (1, 7), (1, 8), (2, 1)), base, 2, resume=True)
+    assert sorted(r.expense_id for r in lake.read_log(spark, base).collect()) == ["0-1", "0-2", "0-3", "1-7", "1-8", "2-1"]
+    with pytest.raises(ValueError, match="does not say"):
+        ingest.write_batch(spark.createDataFrame([("{}",)], "value string"), base, 3, resume=True)
+    land(spark, base, 3, event("untold", 1, 1))
+    with pytest.raises(ValueError, match="would be doubled"):
+        ingest.first_commit(messages((0, 1)), base, 0, "new")
+    nowhere = spark.createDataFrame([(json.dumps(event("n", 1, 1)), None)], "value string, source string")
+    assert ingest.write_batch(nowhere, base, 4, resume=True)["expenses"] == 1
+
+
+def scanned_rows(spark, df):
+    """Rows that file scans handed on: those of pages and row groups that were not skipped."""
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = df._jdf.queryExecution().executedPlan()
+        rows = [r.expense_id for r in df.collect()]
+        found, todo = 0, [plan]
+        while todo:
+            node = todo.pop()
+            if "FileSourceScan" in node.getClass().getSimpleName():
+                found += node.metrics().apply("numOutputRows").value()
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    return found, rows
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_a_key_lookup_skips_row_groups_and_pages(spark, tmp_path, compacted):
+    base, n = str(tmp_path / "lake"), 200_000
+    rows = spark.range(n).select(F.format_string("k%07d", F.col("id") * 2).alias("expense_id"), F.lit("Food").alias("shopping_type"), F.lit("insert").alias("cdc_operation"))
+    schema = lake.log_fields("expenses")
+    whole = rows.select(*[F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    for commit_id in (1, 2):
+        log_sink.append_log(whole.repartition(4), base, "expenses", commit_id)
+        log_sink.write_commit(spark, base, commit_id, {"expenses": n})
+    if compacted:
+        compaction.compact(spark, base)
+    log = lake.read_log(spark, base).select("expense_id")
+    found, rows = scanned_rows(spark, log.filter(F.col("expense_id") == "k0100000"))
+    assert rows == ["k0100000"] * 2 and 0 < found <= 2 * n // 4
+    absent, rows = scanned_rows(spark, log.filter(F.col("expense_id") == "k0100001"))
+    assert rows == [] and absent == 0  # within every file's range: only the Bloom filter knows
+
+
+def test_counts_come_from_the_catalog(spark):
+    name, never = (f"`{new_database(spark)}`.`t`" for _ in range(2))
+    for table in (name, never):
+        spark.range(7).write.saveAsTable(table)
+    catalog.analyze(spark, [name])
+    counts = catalog.estimated_row_counts(spark, [name, never])
+    assert [r.row_count for r in counts.collect()] == [7, None]
+    assert "Scan parquet" not in counts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_snapshot_rewrites_only_what_the_log_touched(spark, tmp_path):
+    base, table = str(tmp_path / "lake"), f"`{new_database(spark)}`.`s`"
+
+    def live(*rows):
+        made = spark.createDataFrame(list(rows), "expense_id string, shopping_type string, expense_amount int")
+        return made.select("*", *[F.lit(None).cast("string").alias(c) for c in ("user_id", "description", "merchant", "expense_date", "payment_method")], F.lit(None).cast("boolean").alias("recurring"))
+
+    def shown():
+        return sorted((r.expense_id, r.shopping_type or "", int(r.expense_amount), r.snapshot_timestamp) for r in spark.table(table).collect())
+
+    land(spark, base, 1, event("a", 1, 1, kind="Food"), event("b", 1, 1, kind="Rent"), event("c", 1, 1, kind="it's"), event("d", 1, 1, kind=""))
+    snapshot.materialize_snapshot(live(("a", "Food", 1), ("b", "Rent", 1), ("c", "it's", 1), ("d", "", 1)), table, "t1")
+    log = lake.read_log(spark, base)
+    with pytest.raises(ValueError):
+        snapshot.refresh_by_log(live(), log, table, 1)
+    snapshot.mark_version(spark, table, 1)
+    assert snapshot.refresh_by_log(live(), log, table, 1) == []
+    files = {r.path for r in spark.table(table).select("shopping_type", F.col("_metadata.file_path").alias("path")).filter("shopping_type = 'Food'").collect()}
+    # c moves to Rent, which empties its old category; d goes
+    land(spark, base, 2, event("c", 2, 2, kind="Rent"), event("d", 1, 2, removed=True, kind=""))
+    log = lake.read_log(spark, base)
+    now = live(("a", "Food", 1), ("b", "Rent", 1), ("c", "Rent", 2))
+    assert sorted(snapshot.refresh_by_log(now, log, table, 2, "t2"), key=str) == [None, "Rent", "it's"]
+    assert shown() == [("a", "Food", 1, "t1"), ("b", "Rent", 1, "t2"), ("c", "Rent", 2, "t2")]
+    assert {r.path for r in spark.table(table).select("shopping_type", F.col("_metadata.file_path").alias("path")).filter("shopping_type = 'Food'").collect()} == files
+    assert snapshot.marked_version(spark, table) == 2
