@@ -16,6 +16,7 @@ from changelake.operators.envelope import TABLE_MEMBER
 from changelake.schemas import META_COLUMNS, REGISTRY, TableSpec, default_for, is_text_table
 
 TIME_COLUMNS = ("cdc_ts", "cdc_seq")
+MOST_COLUMNS = 5_000  # of an inferred table
 
 
 def _value(spec: TableSpec, f: T.StructField) -> Column:
@@ -83,21 +84,47 @@ def _column_type(name: str) -> T.DataType:
 def infer_schema(rows: DataFrame) -> T.StructType:
     """Column types over all rows, widened where rows disagree.
 
-    One aggregate per member name; only the names and merged types come back.
+    One aggregate per member name; only the names and merged types come back.  A table with
+    more than ``MOST_COLUMNS`` names uses its members as data and is refused:
+    ``text_map_rows`` keeps such rows.
     """
     each = rows.select(F.explode(members(F.col("row"))).alias("name", "value")).filter(F.col("name") != TABLE_MEMBER)
-    merged = each.groupBy("name").agg(F.schema_of_variant_agg("value").alias("type")).orderBy("name").collect()
+    merged = each.groupBy("name").agg(F.schema_of_variant_agg("value").alias("type")).limit(MOST_COLUMNS + 1).collect()
+    if len(merged) > MOST_COLUMNS:
+        raise ValueError(f"more than {MOST_COLUMNS} member names: keep these rows as text maps")
+    merged.sort(key=lambda r: r["name"])
     return T.StructType([T.StructField(r["name"], _column_type(r["type"])) for r in merged])
 
 
+def column_names(names: list[str]) -> list[str]:
+    """A column name for each member, all different whatever their case.
+
+    The change columns keep theirs, and of members that differ in case only the first in
+    code-point order does; any other gets the first of ``_2``, ``_3``, ... that nobody has.
+    """
+    given = {n.lower() for n in names}
+    used = {c.lower() for c in (*META_COLUMNS, *TIME_COLUMNS)}
+    chosen = {}
+    for name in sorted(names):
+        shown, k = name, 1
+        while shown.lower() in used or k > 1 and shown.lower() in given:
+            k += 1
+            shown = f"{name}_{k}"
+        used.add(shown.lower())
+        chosen[name] = shown
+    return [chosen[n] for n in names]
+
+
 def inferred_rows(rows: DataFrame, table: str) -> DataFrame:
     """Rows of an unregistered table with columns inferred from the whole batch.
 
-    Missing and null values take the column default.
+    Missing and null values take the column default.  Members with the names of change
+    columns, or with names that differ in case only, are told apart by ``column_names``.
     """
     own = rows.filter(F.col("cdc_table") == table)
     columns = []
-    for f in infer_schema(own).fields:
+    fields = infer_schema(own).fields
+    for f, shown in zip(fields, column_names([f.name for f in fields])):
         value = F.try_variant_get(F.try_element_at("_members", F.lit(f.name)), "$", f.dataType.simpleString())
-        columns.append(F.coalesce(value, F.lit(default_for(f.dataType)).cast(f.dataType)).alias(f.name))
+        columns.append(F.coalesce(value, F.lit(default_for(f.dataType)).cast(f.dataType)).alias(shown))
     return own.withColumn("_members", members(F.col("row"))).select(*columns, *META_COLUMNS, *TIME_COLUMNS)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changelake import workdir
@@ -10,6 +10,7 @@ from changelake.operators import envelope as N
 from changelake.operators import reports as R
 from changelake.operators import shaping as T
 from changelake.plans import envelope_fixtures as V
+from changelake.plans import fixtures as X
 from changelake.plans.catalogue import Catalogue
 from changelake.plans.log_queries import IMAGE
 from changelake.plans.oracle_views import everything, expenses
@@ -86,6 +87,13 @@ def _member_counts() -> str:
     )
 
 
+def clashing_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of an unregistered table with members named like a change column and like each other."""
+    body = F.format_string('{"__table__": "odd", "A": %d, "a": "%s", "cdc_table": "%s"}', "o_orderkey", "o_orderpriority", "o_orderstatus")
+    rows = N.normalize_once(X.table(spark, sf_dir, "orders").select(body.alias("value")), workdir.fresh(spark, "classified"), INGEST_TS).rows
+    return T.inferred_rows(rows, "odd").drop("cdc_timestamp", *T.TIME_COLUMNS)
+
+
 def register(c: Catalogue) -> None:
     c.add("normalize_before_after", lambda s, d: expense_rows(V.pair_feed(s, d)), PAIR_LOG)
     c.add("normalize_batch", lambda s, d: expense_rows(V.batch_feed(s, d)), PAIR_LOG)
@@ -176,3 +184,8 @@ CASE WHEN p_partkey % 2 = 0 THEN FLOOR(p_retailprice) ELSE p_retailprice END AS
   FROM cdc JOIN (SELECT o_orderpriority AS p, MAX(o_orderdate) AS resolved FROM orders GROUP BY o_orderpriority) r
     ON cdc.shopping_type = r.p WHERE cdc_ts <= resolved) t GROUP BY feed, cdc_operation"""),
     )
+    c.add(
+        "inferred_clashing_members",
+        clashing_members,
+        """SELECT o_orderkey AS "A", o_orderpriority AS a_2, o_orderstatus AS cdc_table_2, 'odd' AS cdc_table, 'snapshot' AS cdc_operation FROM orders""",
+    )

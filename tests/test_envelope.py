@@ -263,3 +263,21 @@ def test_members_with_odd_names_are_inferred(spark):
 def test_arrival_stands_in_for_a_missing_time(spark):
     raw = feed(spark, {"after": ROW}).withColumn("received_at", F.lit("2024-02-03T04:05:06Z").cast("timestamp"))
     assert N.normalize(raw).rows.select(F.col("cdc_ts") == F.lit("2024-02-03T04:05:06Z").cast("timestamp")).first()[0]
+
+
+def test_inferred_members_with_clashing_names(spark, tmp_path):
+    bodies = [{"__table__": "t", "CDC_TS": 1, "a": 2, "A": "x", "a_2": 3, "cdc_table": "mine"}, {"__table__": "t", "a": 4}]
+    found = T.inferred_rows(N.normalize(feed(spark, *bodies), INGEST).rows, "t")
+    found.write.parquet(str(tmp_path / "t"))
+    rows = {r.a_3: r for r in spark.read.parquet(str(tmp_path / "t")).collect()}
+    assert (rows[2].A, rows[2].a_2, rows[2].CDC_TS_2, rows[2].cdc_table_2, rows[2].cdc_table) == ("x", 3, 1, "mine", "t")
+    assert (rows[4].A, rows[4].a_2, rows[4].CDC_TS_2, rows[4].cdc_table_2) == ("", 0, 0, "")
+    assert T.column_names(["b", "B", "b_2", "cdc_seq"]) == ["b_3", "B", "b_2", "cdc_seq_2"]
+
+
+def test_members_used_as_data_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(T, "MOST_COLUMNS", 2)
+    rows = N.normalize(feed(spark, *({"__table__": "t", f"k{i}": i} for i in range(3))), INGEST).rows
+    with pytest.raises(ValueError, match="text maps"):
+        T.inferred_rows(rows, "t")
+    assert T.text_map_rows(rows).count() == 3
