@@ -46,18 +46,20 @@ TOKEN_SHARE = 500_000
 START, END = 0xFE, 0xFF  # bytes that UTF-8 never holds
 SYMBOLS = 256
 BLOCK_BYTES = 2 << 20
+BLOCK_TEXTS = 50_000  # below 2^16
+SORTED_AT_ONCE = 1 << 16
 PART_ROWS = 500_000  # parts of the trie are taken together up to so many rows
 _PAD = bytes([START]) * 8
 
 
 def blocks(texts: list[str]) -> Iterator[tuple[int, int, bytes]]:
-    """Runs of texts of about ``BLOCK_BYTES``: first, last + 1, and their padded bytes."""
+    """Runs of texts of about ``BLOCK_BYTES``, ``BLOCK_TEXTS`` at most: first, last + 1, and their padded bytes."""
     parts, size, first = [], 0, 0
     for i, text in enumerate(texts):
         data = text.encode("utf-8", "replace")
         parts += [_PAD, data, bytes([END])]
         size += len(data)
-        if size >= BLOCK_BYTES or i == len(texts) - 1:
+        if size >= BLOCK_BYTES or i + 1 - first == BLOCK_TEXTS or i == len(texts) - 1:
             yield first, i + 1, b"".join(parts)
             parts, size, first = [], 0, i + 1
 
@@ -209,18 +211,26 @@ def code_lengths(counted: DataFrame, wanted: DataFrame) -> DataFrame:
 def _lengths_of(data: bytes, texts: int, keys: np.ndarray, gains: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     """Per text of a block the sum over known ``keys`` (sorted), and the others with their times."""
     wanted, ends = symbols(data)
-    distinct, where = np.unique(wanted, return_inverse=True)
-    if len(keys):
-        at, known = _find(keys, distinct)
-        gain = np.where(known, gains[at], 0.0)
-    else:
-        known, gain = np.zeros(len(distinct), bool), np.zeros(len(distinct))
     owner = texts - np.cumsum(ends)  # from the last text to the first
-    sums = np.bincount(owner, weights=gain[where], minlength=texts)
-    open_ = np.flatnonzero(~known[where])
-    pairs, times = np.unique(owner[open_] * len(distinct) + where[open_], return_counts=True)
-    offsets = np.searchsorted(pairs, np.arange(texts + 1) * len(distinct)).astype(np.int32)
-    others = pa.StructArray.from_arrays([pa.array(distinct[pairs % len(distinct)].astype(np.int64)), pa.array(times.astype(np.int64))], ["key", "n"])
+    gain = np.zeros(len(wanted))
+    unknown = [np.empty(0, np.int64)]
+    for at in range(0, len(wanted), SORTED_AT_ONCE):
+        some = wanted[at : at + SORTED_AT_ONCE]
+        # A number has 48 bits and its place 16, so both are sorted as one.
+        both = np.sort(some << np.uint64(16) | np.arange(len(some), dtype=np.uint64))
+        key, place = both >> np.uint64(16), at + (both & np.uint64(0xFFFF)).astype(np.int64)
+        first = _runs(key)
+        times = np.diff(np.append(first, len(key)))
+        where, known = _find(keys, key[first]) if len(keys) else (None, np.zeros(len(first), bool))
+        if known.any():
+            gain[place] = np.repeat(np.where(known, gains[where], 0.0), times)
+        unknown.append(place[np.repeat(~known, times)])
+    sums = np.bincount(owner, weights=gain, minlength=texts)
+    open_ = np.concatenate(unknown)
+    pairs, times = np.unique(owner[open_].astype(np.uint64) << np.uint64(48) | wanted[open_], return_counts=True)
+    offsets = np.searchsorted(pairs, np.arange(texts + 1).astype(np.uint64) << np.uint64(48)).astype(np.int32)
+    key = pairs & np.uint64((1 << 48) - 1)
+    others = pa.StructArray.from_arrays([pa.array(key.astype(np.int64)), pa.array(times.astype(np.int64))], ["key", "n"])
     return sums, pa.ListArray.from_arrays(pa.array(offsets), others)
 
 
