@@ -115,6 +115,15 @@ def column_names(names: list[str]) -> list[str]:
     return [chosen[n] for n in names]
 
 
+def _typed_members(own: DataFrame, types: T.StructType) -> DataFrame:
+    """One column per member of ``types``; missing and null values take the column default."""
+    columns = []
+    for f, shown in zip(types.fields, column_names([f.name for f in types.fields])):
+        value = F.try_variant_get(F.try_element_at("_members", F.lit(f.name)), "$", f.dataType.simpleString())
+        columns.append(F.coalesce(value, F.lit(default_for(f.dataType)).cast(f.dataType)).alias(shown))
+    return own.withColumn("_members", members(F.col("row"))).select(*columns, *[c for c in own.columns if c != "row"])
+
+
 def inferred_rows(rows: DataFrame, table: str) -> DataFrame:
     """Rows of an unregistered table with columns inferred from the whole batch.
 
@@ -122,9 +131,50 @@ def inferred_rows(rows: DataFrame, table: str) -> DataFrame:
     columns, or with names that differ in case only, are told apart by ``column_names``.
     """
     own = rows.filter(F.col("cdc_table") == table)
-    columns = []
-    fields = infer_schema(own).fields
-    for f, shown in zip(fields, column_names([f.name for f in fields])):
-        value = F.try_variant_get(F.try_element_at("_members", F.lit(f.name)), "$", f.dataType.simpleString())
-        columns.append(F.coalesce(value, F.lit(default_for(f.dataType)).cast(f.dataType)).alias(shown))
-    return own.withColumn("_members", members(F.col("row"))).select(*columns, *META_COLUMNS, *TIME_COLUMNS)
+    return _typed_members(own.select("row", *META_COLUMNS, *TIME_COLUMNS), infer_schema(own))
+
+
+# The types a member of one batch can have; void is one that was always null.
+NUMBERS, VOID = ("bigint", "double"), "void"
+
+
+def member_types(rows: DataFrame) -> DataFrame:
+    """``cdc_table, name, type``: what every member of a batch holds, widened where its rows disagree.
+
+    Two-phase, one row per table and member, so that it can be kept with a commit and
+    merged with those of others.
+    """
+    each = rows.select("cdc_table", F.explode(members(F.col("row"))).alias("name", "value")).filter(F.col("name") != TABLE_MEMBER)
+    found = each.groupBy("cdc_table", "name").agg(F.schema_of_variant_agg("value").alias("seen"))
+    seen = F.col("seen")
+    kind = (
+        F.when(seen == "BOOLEAN", F.lit("boolean"))
+        .when((seen == "BIGINT") | seen.rlike(r"^DECIMAL\(\d+,0\)$"), F.lit("bigint"))
+        .when(seen.rlike("^(DECIMAL|DOUBLE|FLOAT)"), F.lit("double"))
+        .when(seen == "VOID", F.lit(VOID))
+        .otherwise(F.lit("string"))
+    )
+    return found.select("cdc_table", "name", kind.alias("type"))
+
+
+def merged_types(types: DataFrame) -> DataFrame:
+    """One type per table and member over many batches: that of all batches read as one.
+
+    Whole and other numbers are numbers, any other disagreement is text, and so is a
+    member that was null in every batch.
+    """
+    each = types.groupBy("cdc_table", "name").agg(F.array_sort(F.array_except(F.collect_set("type"), F.array(F.lit(VOID)))).alias("_all"))
+    one = F.when(F.size("_all") == 1, F.get("_all", F.lit(0))).when(F.col("_all") == F.array(*map(F.lit, NUMBERS)), F.lit("double"))
+    return each.select("cdc_table", "name", F.coalesce(one, F.lit("string")).alias("type"))
+
+
+def typed_by(rows: DataFrame, types: DataFrame) -> DataFrame:
+    """Rows of one unregistered table (``row`` a VARIANT) with the columns that ``types`` of many batches give it.
+
+    Only names and merged types come to the driver; more than ``MOST_COLUMNS`` are refused.
+    """
+    merged = merged_types(types).limit(MOST_COLUMNS + 1).collect()
+    if len(merged) > MOST_COLUMNS:
+        raise ValueError(f"more than {MOST_COLUMNS} member names: keep these rows as text maps")
+    fields = [T.StructField(r["name"], T.DataType.fromDDL(r["type"])) for r in sorted(merged, key=lambda r: r["name"])]
+    return _typed_members(rows, T.StructType(fields))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from changelake.sinks import catalog_log, compaction, image, partials
 from changelake.sinks import log as log_sink
 from changelake.sinks import snapshot
 from changelake.sources import catalog, events, lake
-from changelake.streaming import ingest
+from changelake.streaming import ingest, staging
 
 
 def compacted_log(spark: SparkSession, sf_dir: str) -> str:
@@ -137,6 +138,36 @@ def snapshot_by_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
+def typed_misc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An unregistered table whose members change type, and of which one is new, from one commit to the next."""
+    orders, base = X.table(spark, sf_dir, "orders"), workdir.fresh(spark, "typed")
+    named = F.lit("misc").alias("__table__")
+    first = F.struct(named, F.col("o_orderkey").alias("k"), F.col("o_orderkey").alias("amount"), (F.col("o_orderkey") % 4 == 1).alias("flag"))
+    second = F.struct(
+        named, F.col("o_orderkey").alias("k"), F.col("o_totalprice").cast("decimal(12,2)").alias("amount"), F.col("o_orderstatus").alias("flag"), F.col("o_custkey").alias("customer")
+    )
+    for commit_id, image in ((1, first), (2, second)):
+        half = orders.filter(F.col("o_orderkey") % 2 == commit_id % 2)
+        ingest.write_batch(half.select(F.to_json(image).alias("value")), base, commit_id, INGEST_TS)
+    return lake.read_typed_rows(spark, base, "misc").select("k", "amount", "flag", "customer", "commit_id")
+
+
+def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four micro-batches half a minute apart; a busy table is due each time, a quiet one once it has waited 75 seconds."""
+    base, began = workdir.fresh(spark, "staged"), datetime(2024, 6, 1, tzinfo=timezone.utc)
+    orders = X.table(spark, sf_dir, "orders")
+    busy = F.struct(F.col("o_orderkey").cast("string").alias("expense_id"), F.col("o_totalprice").cast("decimal(12,2)").alias("expense_amount"))
+    quiet = F.struct(F.col("o_orderkey").alias("w_id"), F.col("o_orderstatus").alias("w_name"), F.lit("").alias("w_street_1"))
+    feed = orders.select("o_orderkey", F.when(F.expr("o_orderkey DIV 4 % 16 = 0"), F.to_json(quiet)).otherwise(F.to_json(busy)).alias("value"))
+    most = orders.count() // 8
+    for k in range(4):
+        now = began + timedelta(seconds=30 * k)
+        staging.stage_batch(feed.filter(F.col("o_orderkey") % 4 == k).select("value"), base, k, INGEST_TS, now)
+        staging.release(spark, base, most, 75, now)
+    keys = [lake.read_log(spark, base, t).select(F.lit(t).alias("table_name"), F.col(k).alias("key"), "commit_id") for t, k in (("expenses", "expense_id"), ("warehouse", "w_id"))]
+    return reduce(DataFrame.unionByName, keys)
+
+
 def register(c: Catalogue) -> None:
     log_columns = f"{IMAGE}, cdc_table, cdc_operation, cdc_ts, CAST(commit_id AS BIGINT) AS commit_id"
     c.add("log_after_compaction", lambda s, d: shown_rows(lake.read_log(s, compacted_log(s, d))), sql(f"SELECT {log_columns} FROM cdc"))
@@ -192,3 +223,16 @@ FROM cdc WHERE expense_id = '{AUDITED_EXPENSE}' ORDER BY cdc_ts"""),
         lambda s, d: state_view(snapshot_by_log(s, d)),
         sql(f"SELECT {IMAGE}, CASE WHEN shopping_type IN (SELECT shopping_type FROM cdc WHERE commit_id > 1) THEN '{SECOND_STAMP}' ELSE '{FIRST_STAMP}' END AS snapshot_timestamp FROM live"),
     )
+    c.add(
+        "unregistered_typed",
+        typed_misc,
+        """SELECT o_orderkey AS k, CAST(CASE WHEN o_orderkey % 2 = 1 THEN o_orderkey ELSE o_totalprice END AS DOUBLE) AS amount,
+CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus WHEN o_orderkey % 4 = 1 THEN 'true' ELSE 'false' END AS flag,
+CASE WHEN o_orderkey % 2 = 0 THEN o_custkey ELSE 0 END AS customer, CASE WHEN o_orderkey % 2 = 1 THEN 1 ELSE 2 END AS commit_id FROM orders""",
+    )
+    c.add(
+        "staged_tables",
+        staged,
+        """SELECT CASE WHEN o_orderkey // 4 % 16 = 0 THEN 'warehouse' ELSE 'expenses' END AS table_name, CAST(o_orderkey AS VARCHAR) AS key,
+CASE WHEN o_orderkey // 4 % 16 = 0 THEN 4 ELSE o_orderkey % 4 + 1 END AS commit_id FROM orders""",
+    )

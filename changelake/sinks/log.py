@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from changelake import files
 from changelake.operators.shaping import all_strings
 from changelake.schemas import REGISTRY
-from changelake.sources.lake import COMMITS, OTHER, archive_path, escaped
+from changelake.sources.lake import COMMITS, OTHER, OTHER_TYPES, archive_path, escaped
 
-SIDES = ("progress", "dead", "intake", f"log/{OTHER}", "partials/expenses")
+SIDES = ("progress", "dead", "intake", f"log/{OTHER}", OTHER_TYPES, "partials/expenses", "released")
 BLOOM_BYTES = 1 << 20
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from changelake.operators.shaping import typed_by
 from changelake.schemas import REGISTRY
 
 OTHER = "_other"  # rows of tables nobody registered
@@ -50,6 +51,20 @@ OTHER_ROWS = T.StructType(
 )
 
 
+# In the log the image is a VARIANT; commits of earlier versions hold its text in ``body`` instead.
+OTHER_STORED = T.StructType([*OTHER_ROWS.fields[:-1], T.StructField("row", T.VariantType()), COMMIT_ID])
+
+OTHER_TYPES = "types/_other"
+
+_TARGET, _STAGE_ID = T.StructField("target", T.StringType()), T.StructField("stage_id", T.LongType())
+
+STAGES = T.StructType([_TARGET, T.StructField("rows", T.LongType()), T.StructField("staged_at", T.TimestampType()), T.StructField("writer", T.StringType()), _STAGE_ID])
+
+RELEASED = T.StructType([_TARGET, _STAGE_ID, COMMIT_ID])
+
+MEMBER_TYPES = T.StructType([*[T.StructField(c, T.StringType()) for c in ("cdc_table", "name", "type")], COMMIT_ID])
+
+
 def _parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet folder, or no rows while nothing was written there."""
     try:
@@ -148,9 +163,34 @@ def register_log(spark: SparkSession, base: str, prefix: str = "") -> list[str]:
     return [*(prefix + t for t in REGISTRY), f"{prefix}commits"]
 
 
+def _other_rows(spark: SparkSession, base: str) -> DataFrame:
+    return _committed(_parquet(spark, f"{base}/log/{OTHER}", OTHER_STORED), spark, base)
+
+
 def read_other_rows(spark: SparkSession, base: str) -> DataFrame:
     """Committed rows of tables nobody registered, as JSON text."""
-    return _committed(_parquet(spark, f"{base}/log/_other", OTHER_ROWS), spark, base)
+    return _other_rows(spark, base).withColumn("body", F.coalesce("body", F.to_json("row"))).select(*OTHER_ROWS.fieldNames())
+
+
+def read_member_types(spark: SparkSession, base: str) -> DataFrame:
+    """What each commit found in the members of unregistered tables."""
+    return _committed(_parquet(spark, f"{base}/{OTHER_TYPES}", MEMBER_TYPES), spark, base)
+
+
+def read_typed_rows(spark: SparkSession, base: str, table: str, as_of: int | None = None) -> DataFrame:
+    """Committed rows of a table nobody registered, with a typed column per member.
+
+    Types are merged from what each commit kept, so no row is looked at for them; a
+    member that a commit lacks takes its default there.  ``as_of`` stops at a commit, for
+    rows and types alike.  Commits written before types were kept are not typed: their rows
+    are left to ``read_other_rows``, and asking for them here is an error.
+    """
+    upto = F.lit(True) if as_of is None else F.col("commit_id") <= as_of
+    rows = _other_rows(spark, base).filter((F.col("cdc_table") == table) & upto)
+    if not rows.filter(F.col("row").isNull()).isEmpty():
+        raise ValueError(f"{table} has rows from before types were kept")
+    types = read_member_types(spark, base).filter((F.col("cdc_table") == table) & upto)
+    return typed_by(rows.select("row", "cdc_table", "cdc_operation", "cdc_timestamp", "cdc_ts", "cdc_seq", "commit_id"), types)
 
 
 def read_progress(spark: SparkSession, base: str) -> DataFrame:
@@ -162,6 +202,16 @@ def read_intake(spark: SparkSession, base: str) -> DataFrame:
     return _committed(_parquet(spark, f"{base}/intake", INTAKE), spark, base)
 
 
+def read_stages(spark: SparkSession, base: str) -> DataFrame:
+    """What listed stages hold: events per target, and since when."""
+    return _parquet(spark, f"{base}/staging/list", STAGES)
+
+
+def read_released(spark: SparkSession, base: str) -> DataFrame:
+    """Up to which stage committed releases took each target."""
+    return _committed(_parquet(spark, f"{base}/released", RELEASED), spark, base)
+
+
 def read_dead_letters(spark: SparkSession, base: str) -> DataFrame:
     return _committed(_parquet(spark, f"{base}/dead", DEAD_LETTERS), spark, base)
 

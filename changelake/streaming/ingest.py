@@ -16,17 +16,17 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from changelake.operators.envelope import DATA, DEAD, PROGRESS, classify, split, unpack
-from changelake.operators.shaping import typed_rows
+from changelake.operators.shaping import member_types, typed_rows
 from changelake.schemas import META_COLUMNS, REGISTRY
 from changelake.sinks.archive import write_archive
 from changelake.sinks.log import append_log, append_side, clear_commit, write_commit
 from changelake.sinks.partials import write_partials
-from changelake.sources.lake import OTHER, read_commits, read_intake
+from changelake.sources.lake import OTHER, OTHER_TYPES, read_commits, read_intake
 
 # How much one micro-batch takes and how long it may wait.
 BATCH_SECONDS = 60
@@ -51,40 +51,48 @@ def write_batch(
     if resume and "source" not in batch.columns:
         raise ValueError("this feed does not say where its bodies came from, so it cannot go on without its checkpoint")
     stamp = ingest_ts if ingest_ts or "received_at" in batch.columns else datetime.now(timezone.utc).isoformat()
-    registered = F.when(F.col("cdc_table").isin(*REGISTRY), F.col("cdc_table")).otherwise(F.lit(OTHER))
-    classified = classify(unpack(batch), stamp).withColumn("_target", registered).persist(StorageLevel.MEMORY_AND_DISK)
+    classified = classify(unpack(batch), stamp).withColumn("_target", target_of()).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         events = _not_taken(classified, base) if resume else classified
-        target = F.when(F.col("kind") == DATA, F.col("_target")).otherwise(F.col("kind"))
-        counts = {r["target"]: r["n"] for r in events.groupBy(target.alias("target")).agg(F.count(F.lit(1)).alias("n")).collect()}
-        found = split(events)
+        counts = {r["_target"]: r["n"] for r in events.groupBy("_target").agg(F.count(F.lit(1)).alias("n")).collect()}
         clear_commit(batch.sparkSession, base, commit_id, archive)
         if "source" in classified.columns:
             append_side(_intake(classified), base, "intake", commit_id)
-        for table in (t for t in REGISTRY if t in counts):
-            rows = typed_rows(found.rows, table)
-            append_log(rows, base, table, commit_id)
-            if table == "expenses":
-                write_partials(rows, base, commit_id)
-            if archive:
-                write_archive(rows.drop("feed"), archive, table, F.col("cdc_ts"), commit_id)
-        if OTHER in counts:
-            unregistered = found.rows.filter(~F.col("cdc_table").isin(*REGISTRY)).select(
-                "feed", *META_COLUMNS, "cdc_ts", "cdc_seq", F.to_json("row").alias("body")
-            )
-            append_side(unregistered, base, f"log/{OTHER}", commit_id)
-            if archive:
-                write_archive(unregistered, archive, OTHER, F.col("cdc_ts"), commit_id)
-        if PROGRESS in counts:
-            append_side(found.progress, base, "progress", commit_id)
-        if DEAD in counts:
-            append_side(found.dead, base, "dead", commit_id)
+        write_tables(events, counts, base, commit_id, archive)
         write_commit(batch.sparkSession, base, commit_id, counts, "append", None, writer)
     finally:
         classified.unpersist()
     return counts
 
 
+def target_of() -> Column:
+    """Where a classified event goes: a registered table, the unregistered rows, progress or dead letters."""
+    registered = F.when(F.col("cdc_table").isin(*REGISTRY), F.col("cdc_table")).otherwise(F.lit(OTHER))
+    return F.when(F.col("kind") == DATA, registered).otherwise(F.col("kind"))
+
+
+def write_tables(events: DataFrame, counts: dict[str, int], base: str, commit_id: int, archive: str | None = None) -> None:
+    """Write a commit's classified events to the tables that ``counts`` names; the commit is not listed yet."""
+    found = split(events)
+    for table in (t for t in REGISTRY if t in counts):
+        rows = typed_rows(found.rows, table)
+        append_log(rows, base, table, commit_id)
+        if table == "expenses":
+            write_partials(rows, base, commit_id)
+        if archive:
+            write_archive(rows.drop("feed"), archive, table, F.col("cdc_ts"), commit_id)
+    if OTHER in counts:
+        unregistered = found.rows.filter(~F.col("cdc_table").isin(*REGISTRY)).select("feed", *META_COLUMNS, "cdc_ts", "cdc_seq", "row")
+        append_side(unregistered, base, f"log/{OTHER}", commit_id)
+        append_side(member_types(unregistered), base, OTHER_TYPES, commit_id)
+        if archive:
+            write_archive(unregistered.withColumn("body", F.to_json("row")).drop("row"), archive, OTHER, F.col("cdc_ts"), commit_id)
+    if PROGRESS in counts:
+        append_side(found.progress, base, "progress", commit_id)
+    if DEAD in counts:
+        append_side(found.dead, base, "dead", commit_id)
+
+
 def _intake(events: DataFrame) -> DataFrame:
     """One row per file, or per topic partition with its last offset; bodies without events count as not taken."""
     position = F.col("position") if "position" in events.columns else F.lit(None).cast("bigint")

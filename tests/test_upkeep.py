@@ -1,10 +1,12 @@
 """Compaction, images, partial figures, catalog tables, and attempts that were lost."""
 
 import json
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
+from changelake.operators import envelope, shaping
 from changelake.operators import reports as R
 from changelake.operators import state as S
 from changelake.operators import versions as V
@@ -13,7 +15,7 @@ from changelake.plans.upkeep_queries import summed_log
 from changelake.sinks import catalog_log, compaction, image, partials, snapshot
 from changelake.sinks import log as log_sink
 from changelake.sources import catalog, events, kafka, lake
-from changelake.streaming import ingest
+from changelake.streaming import ingest, staging
 
 SF = "/root/testdata/sf0.001"
 
@@ -325,3 +327,85 @@ def test_a_snapshot_rewrites_only_what_the_log_touched(spark, tmp_path):
     assert shown() == [("a", "Food", 1, "t1"), ("b", "Rent", 1, "t2"), ("c", "Rent", 2, "t2")]
     assert {r.path for r in spark.table(table).select("shopping_type", F.col("_metadata.file_path").alias("path")).filter("shopping_type = 'Food'").collect()} == files
     assert snapshot.marked_version(spark, table) == 2
+
+
+def misc(**members):
+    return {"__table__": "misc", **members}
+
+
+def test_types_of_commits_merge_as_if_read_at_once(spark, tmp_path):
+    base = str(tmp_path / "lake")
+    one = [misc(id=1, n=1, f=True, z=None, cdc_table="x", A=1), misc(id=2, n=2, f=None, z=None, A=2)]
+    two = [misc(id=3, n=2.5, f="text", z=None, a="low"), misc(id=4, n=None, o={"deep": [1]}), {"__table__": "else", "id": "text"}]
+    land(spark, base, 1, *one)
+    before = lake.read_typed_rows(spark, base, "misc")
+    assert dict(before.dtypes)["n"] == "bigint" and dict(before.dtypes)["f"] == "boolean"
+    land(spark, base, 2, *two)
+    now = lake.read_typed_rows(spark, base, "misc")
+    # The same members and types as one batch of all rows.
+    whole = spark.createDataFrame([(json.dumps(e),) for e in one + two], "value string")
+    at_once = shaping.inferred_rows(envelope.normalize(whole, "2024-06-01T00:00:00Z").rows, "misc")
+    assert now.drop("commit_id").dtypes == at_once.dtypes
+    assert sorted(map(repr, now.drop("commit_id").collect())) == sorted(map(repr, at_once.collect()))
+    assert {(r.id, r.commit_id) for r in now.collect()} == {(1, 1), (2, 1), (3, 2), (4, 2)}
+    assert dict(now.dtypes) | {"n": "double", "f": "string", "z": "string", "A": "bigint", "a_2": "string"} == dict(now.dtypes)
+    assert lake.read_typed_rows(spark, base, "misc", as_of=1).dtypes == before.dtypes
+    assert {json.loads(b)["id"] for (b,) in lake.read_other_rows(spark, base).select("body").collect()} == {1, 2, 3, 4, "text"}
+    assert lake.read_typed_rows(spark, base, "nobody").count() == 0
+
+
+def staged_events(spark, *events):
+    return spark.createDataFrame([(json.dumps(e),) for e in events], "value string")
+
+
+def test_tables_wait_for_rows_or_age_and_survive_lost_attempts(spark, tmp_path, monkeypatch):
+    base = str(tmp_path / "lake")
+    began = datetime(2024, 6, 1, tzinfo=timezone.utc)
+    stamp = "2024-06-01T00:00:00Z"
+
+    def step(k, *events):
+        now = began + timedelta(seconds=10 * k)
+        staging.stage_batch(staged_events(spark, *events), base, k, stamp, now)
+        return staging.release(spark, base, 3, 25, now)
+
+    quiet = {"w_id": 1, "w_name": "a", "w_street_1": "b"}
+    assert step(0, *[event(f"a{i}", i, i) for i in range(3)], quiet, {"resolved": "1"}, misc(k=1)) == 1
+    assert keys(lake.read_log(spark, base)) == [(f"a{i}", f"{i}.00", "insert", 1) for i in range(3)]
+    assert lake.read_log(spark, base, "warehouse").count() == 0 and lake.read_progress(spark, base).count() == 0
+    assert step(1, event("b", 1, 9)) is None and step(1, event("b", 1, 9)) is None  # delivered twice
+    assert {r.target: r.rows for r in staging.waiting(spark, base).collect()} == {"warehouse": 1, "progress": 1, "_other": 1, "expenses": 1}
+    # A release that dies before it is listed shows nothing and is made again.
+    with monkeypatch.context() as m:
+        m.setattr(staging, "write_commit", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            step(3, event("c", 2, 10))
+    assert lake.read_log(spark, base, "warehouse").count() == 0
+    assert step(3, event("c", 2, 10)) == 2  # the quiet ones have waited long enough, b not yet
+    assert lake.read_log(spark, base, "warehouse").count() == 1 and lake.read_progress(spark, base).count() == 1
+    assert lake.read_typed_rows(spark, base, "misc").select("k", "commit_id").collect() == [(1, 2)]
+    assert [k[0] for k in keys(lake.read_log(spark, base))] == ["a0", "a1", "a2"]
+    assert staging.release(spark, base, 0, 25, began) == 3 and staging.release(spark, base, 0, 25, began) is None
+    assert [(k[0], k[3]) for k in keys(lake.read_log(spark, base))] == [("a0", 1), ("a1", 1), ("a2", 1), ("b", 3), ("c", 3)]
+    assert staging.vacuum_stages(spark, base) == 2 and step(0, event("a0", 0, 0)) is None
+    assert sum(int(n) for r in lake.read_commits(spark, base).collect() for n in r.summary.values()) == 8
+
+
+def test_a_staged_stream_restarts_and_refuses_another_checkpoint(spark, tmp_path):
+    landing, base = tmp_path / "landing", str(tmp_path / "lake")
+    landing.mkdir()
+
+    def run(checkpoint, most_rows):
+        stream = events.stream_events(spark, str(landing))
+        query = staging.run_staged(stream, base, str(tmp_path / checkpoint), {"availableNow": True}, "2024-06-01T00:00:00Z", most_rows, 3600)
+        query.awaitTermination()
+
+    (landing / "1.json").write_text(json.dumps(event("a", 1, 1)))
+    run("one", 2)
+    assert lake.read_log(spark, base).count() == 0
+    with pytest.raises(Exception, match="written by another query"):
+        run("three", 2)
+    (landing / "2.json").write_text(json.dumps(event("b", 1, 2)))
+    run("one", 2)
+    assert sorted(k[0] for k in keys(lake.read_log(spark, base))) == ["a", "b"]
+    with pytest.raises(Exception, match="the log already has 1"):
+        run("two", 2)
