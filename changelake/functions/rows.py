@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 from operator import and_
 
@@ -47,10 +48,24 @@ def _first(cases: list[tuple[Column, Column]], otherwise: Column) -> Column:
     return out.otherwise(otherwise)
 
 
+def members_of(v: Column, names: Iterable[str]) -> Column:
+    """The named members of an object, each a VARIANT field of one struct, looked up in one pass."""
+    return F.try_variant_get(v, "$", f"struct<{','.join(f'`{n}`:variant' for n in names)}>")
+
+
+# The members that tell tables apart.
+IDENTIFYING = tuple(dict.fromkeys(n for _, needed in DETECTION_RULES for n in needed))
+
+
+def table_of(held: Column) -> Column:
+    """Table by the identifying members in ``held``, first match wins; keep ``held`` in a column, it is used often."""
+    cases = [(reduce(and_, [held[n].isNotNull() for n in needed]), F.lit(table)) for table, needed in DETECTION_RULES]
+    return _first(cases, F.lit(UNKNOWN))
+
+
 def detect_table(v: Column) -> Column:
     """Table whose identifying columns a row image carries, first match wins."""
-    cases = [(reduce(and_, [present(v, n) for n in needed]), F.lit(table)) for table, needed in DETECTION_RULES]
-    return _first(cases, F.lit(UNKNOWN))
+    return table_of(members_of(v, IDENTIFYING))
 
 
 def operation_name(code: Column) -> Column:

@@ -24,14 +24,15 @@ from pyspark.sql import functions as F
 
 from changelake.functions.event_time import event_seq, event_time
 from changelake.functions.rows import (
-    detect_table,
+    IDENTIFYING,
     field,
     is_json_null,
     is_object,
     is_truthy,
     members,
+    members_of,
     operation_name,
-    present,
+    table_of,
 )
 from changelake.schemas import DELETE, INSERT, META_COLUMNS, OPERATION_CODES, REGISTRY, SNAPSHOT, UPDATE
 
@@ -42,6 +43,9 @@ ORIGIN = ("source", "position")
 
 DATA, PROGRESS, DEAD = "data", "progress", "dead"
 
+# Members with a type other than text, of all registered tables.
+TYPED_MEMBERS = tuple(dict.fromkeys(f.name for spec in REGISTRY.values() for f in spec.columns.fields if f.dataType.typeName() != "string"))
+
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 ROW_COLUMNS = ("feed", *META_COLUMNS, "cdc_ts", "cdc_seq", "row")
@@ -95,17 +99,20 @@ def _origin(df: DataFrame) -> list[str]:
     return [c for c in ORIGIN if c in df.columns]
 
 
-def _shape(event: Column) -> Column:
+# Members of an event and of a nested envelope that decide what they are.
+ENVELOPE_MEMBERS = "after:variant,before:variant,op:string,ts_ms:string,source:struct<table:string>"
+EVENT_MEMBERS = f"payload:variant,{TABLE_MEMBER}:string,updated:string,resolved:string,{ENVELOPE_MEMBERS}"
+
+
+def _shape() -> Column:
     """Which kind of envelope an event is, most specific first."""
-    payload = field(event, "payload")
-    images = present(event, "after") | present(event, "before")
-    coded_flat = images & field(event, "op", "string").isin(*OPERATION_CODES)
-    coded = present(payload, "op") | present(payload, "after") | present(payload, "before") | is_object(payload)
+    outer = F.col("outer")
+    images = outer["after"].isNotNull() | outer["before"].isNotNull()
     return (
-        F.when(event.isNull(), F.lit("invalid"))
-        .when(coded_flat, F.lit("coded_flat"))
-        .when(present(event, "after"), F.lit("pair"))
-        .when(coded, F.lit("coded"))
+        F.when(F.col("event").isNull(), F.lit("invalid"))
+        .when(images & outer["op"].isin(*OPERATION_CODES), F.lit("coded_flat"))
+        .when(outer["after"].isNotNull(), F.lit("pair"))
+        .when(F.col("inner").isNotNull(), F.lit("coded"))
         .otherwise(F.lit("bare"))
     )
 
@@ -120,22 +127,32 @@ def _at_once(df: DataFrame, *columns: Column) -> DataFrame:
 
 
 def classify(events: DataFrame, ingest_ts: Column | str | None = None) -> DataFrame:
-    """Decide kind, table, operation, time and row image of every event."""
-    shape, event, envelope, size = F.col("shape"), F.col("event"), F.col("envelope"), F.col("size")
+    """Decide kind, table, operation, time and row image of every event.
+
+    Members are read in one pass per object: each separate lookup costs as much.  What only
+    stored rows need is derived last, so that a query that does not ask for it does not pay.
+    """
+    shape, event, size = F.col("shape"), F.col("event"), F.col("size")
+    outer, inner = F.col("outer"), F.col("inner")
     after, before, row = F.col("after"), F.col("before"), F.col("row")
     has_after, has_before = F.col("has_after"), F.col("has_before")
     is_coded, pair, bare, removed = F.col("is_coded"), shape == "pair", shape == "bare", F.col("removed")
 
+    def of_envelope(name: str) -> Column:
+        return F.when(shape == "coded", inner[name]).otherwise(outer[name])
+
     opened = (
-        events.withColumn("shape", _shape(event))
+        events.withColumn("outer", F.try_variant_get(event, "$", f"struct<{EVENT_MEMBERS}>"))
+        .withColumn("inner", F.try_variant_get(outer["payload"], "$", f"struct<{ENVELOPE_MEMBERS}>"))
+        .withColumn("shape", _shape())
         .withColumns(
             {
-                "envelope": F.when(shape == "coded", field(event, "payload")).otherwise(event),
                 "size": F.when(bare, F.coalesce(F.size(members(event)), F.lit(-1))),
                 "is_coded": shape.isin("coded", "coded_flat"),
+                "after": of_envelope("after"),
+                "before": of_envelope("before"),
             }
         )
-        .withColumns({"after": field(envelope, "after"), "before": field(envelope, "before")})
         .withColumns({"has_after": is_truthy(after), "has_before": is_truthy(before), "removed": is_json_null(after)})
     )
     image = F.when(bare, event).when(has_after, after).when(has_before & (is_coded | (pair & removed)), before)
@@ -158,29 +175,30 @@ def classify(events: DataFrame, ingest_ts: Column | str | None = None) -> DataFr
         .when(pair & ~removed, F.lit("row_not_an_object"))
     )
     named = F.coalesce(
-        field(event, TABLE_MEMBER, "string"),
-        F.when(is_coded, F.try_variant_get("envelope", "$.source.table", "string")),
+        outer[TABLE_MEMBER],
+        F.when(is_coded, of_envelope("source")["table"]),
         F.col("batch_table"),
     )
     own_time = F.coalesce(
-        F.when(is_coded, field(envelope, "ts_ms", "string")), F.when(~bare, field(event, "updated", "string"))
+        F.when(is_coded, of_envelope("ts_ms")), F.when(~bare, outer["updated"])
     )
     origin = [F.col(c) for c in _origin(events)]
     described = _at_once(
-        opened.withColumn("code", field(envelope, "op", "string")),
+        opened.withColumn("code", of_envelope("op")),
         F.col("feed"),
         *origin,
         F.coalesce(_given(ingest_ts), F.col("arrived"), F.date_format(F.current_timestamp(), TIME_FORMAT)).alias("ingest_text"),
         F.col("bad_text"),
         event,
-        F.when(bare & (size == 1), field(event, "resolved", "string")).alias("resolved"),
+        F.when(bare & (size == 1), outer["resolved"]).alias("resolved"),
         reason.alias("reason"),
         op.alias("cdc_operation"),
         image.alias("row"),
         named.alias("named_table"),
         own_time.alias("own_time"),
     )
-    judged = described.select(
+    held = F.col("held")
+    judged = described.withColumn("held", members_of(row, (*IDENTIFYING, *TYPED_MEMBERS))).select(
         "feed",
         *origin,
         "ingest_text",
@@ -190,27 +208,40 @@ def classify(events: DataFrame, ingest_ts: Column | str | None = None) -> DataFr
         "reason",
         "cdc_operation",
         "row",
-        F.coalesce("named_table", detect_table(row)).alias("cdc_table"),
+        "held",
+        F.coalesce("named_table", table_of(held)).alias("cdc_table"),
         F.coalesce(F.nullif("own_time", F.lit("")), "ingest_text").alias("cdc_timestamp"),
-    ).withColumn("reason", F.coalesce("reason", _uncastable()))
+    ).withColumn("reason", F.coalesce("reason", _uncastable(held)))
     kind = (
         F.when(F.col("resolved").isNotNull(), F.lit(PROGRESS))
         .when(F.col("reason").isNotNull(), F.lit(DEAD))
         .otherwise(F.lit(DATA))
     )
     time = F.col("cdc_timestamp")
-    return _at_once(
+    decided = _at_once(
         judged,
         F.col("feed"),
         *origin,
         kind.alias("kind"),
         F.col("reason"),
         *[F.col(c) for c in META_COLUMNS],
+        F.col("ingest_text"),
+        row,
+        F.col("resolved"),
+        F.col("bad_text"),
+        event,
+    )
+    return decided.select(
+        "feed",
+        *origin,
+        "kind",
+        "reason",
+        *META_COLUMNS,
         # A time nobody can read gives way to the ingest time, as a missing one does.
         F.coalesce(event_time(time), event_time(F.col("ingest_text"))).alias("cdc_ts"),
         event_seq(time).alias("cdc_seq"),
-        row,
-        F.col("resolved"),
+        "row",
+        "resolved",
         F.when(F.col("reason").isNotNull(), F.coalesce("bad_text", F.to_json("event"))).alias("body"),
     )
 
@@ -220,23 +251,19 @@ def _given(ingest_ts: Column | str | None) -> Column:
     return ingest_ts if isinstance(ingest_ts, Column) else F.lit(ingest_ts).cast("string")
 
 
-def _uncastable() -> Column:
+def _uncastable(held: Column) -> Column:
     """Reason for the first typed column whose value cannot be read as its type."""
     out = F.lit(None).cast("string")
     for table, spec in REGISTRY.items():
         for f in reversed(spec.columns.fields):
             if f.dataType.typeName() == "string":
                 continue
-            given = field(F.col("row"), f.name)
-            bad = given.isNotNull() & ~is_json_null(given) & _typed(F.col("row"), f).isNull()
+            given = held[f.name]
+            bad = given.isNotNull() & ~is_json_null(given) & F.try_variant_get(given, "$", f.dataType.simpleString()).isNull()
             out = F.when((F.col("cdc_table") == table) & bad, F.lit(f"uncastable_{f.name}")).otherwise(out)
     return out
 
 
-def _typed(row: Column, f) -> Column:
-    return field(row, f.name, f.dataType.simpleString())
-
-
 def split(classified: DataFrame) -> Normalized:
     """The three outcomes of a classified feed."""
     kind = F.col("kind")

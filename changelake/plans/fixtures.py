@@ -316,6 +316,5 @@ def order_entry(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, Data
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a few small files to all cores before JSON is made of them."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Deal the rows of a few files or row groups over tasks, by their bytes, before JSON is made of them."""
+    return df.hint("rebalance")
