@@ -318,3 +318,8 @@ def order_entry(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, Data
 def spread(df: DataFrame) -> DataFrame:
     """Deal the rows of a few files or row groups over tasks, by their bytes, before JSON is made of them."""
     return df.hint("rebalance")
+
+
+def over_cores(df: DataFrame) -> DataFrame:
+    """The same with a part per core, for rows that are cached: a cached plan keeps all its small parts."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

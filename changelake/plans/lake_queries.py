@@ -184,7 +184,7 @@ def mixed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     Rows of a registered all-text table, of a table nobody registered, and expenses.
     """
     kind = F.col("o_orderkey") % 3
-    orders = X.table(spark, sf_dir, "orders")
+    orders = X.over_cores(X.table(spark, sf_dir, "orders"))
     warehouse = F.struct(F.col("o_orderkey").alias("w_id"), F.col("o_orderstatus").alias("w_name"), F.col("o_orderpriority").alias("w_manager"))
     misc = F.struct(F.lit("misc").alias("__table__"), F.col("o_orderkey").alias("k"))
     category = F.when(F.col("o_orderkey") % 7 == 0, F.lit("")).otherwise(F.col("o_orderpriority"))
