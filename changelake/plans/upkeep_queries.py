@@ -160,7 +160,7 @@ def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = X.table(spark, sf_dir, "orders")
     busy = F.struct(F.col("o_orderkey").cast("string").alias("expense_id"), F.col("o_totalprice").cast("decimal(12,2)").alias("expense_amount"))
     quiet = F.struct(F.col("o_orderkey").alias("w_id"), F.col("o_orderstatus").alias("w_name"), F.lit("").alias("w_street_1"))
-    feed = orders.select("o_orderkey", F.when(F.expr("o_orderkey DIV 4 % 16 = 0"), F.to_json(quiet)).otherwise(F.to_json(busy)).alias("value"))
+    feed = X.spread(orders).select("o_orderkey", F.when(F.expr("o_orderkey DIV 4 % 16 = 0"), F.to_json(quiet)).otherwise(F.to_json(busy)).alias("value"))
     most = orders.count() // 8
     for k in range(4):
         now = began + timedelta(seconds=30 * k)
