@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from changelake import files
 from changelake.schemas import REGISTRY
-from changelake.sinks.log import key_filters
+from changelake.sinks.log import key_filters, rebalanced
 from changelake.sources.lake import SEGMENTS, Segment, escaped, log_part, read_commits, read_log, segment_path, segments
 
 TARGET_BYTES = 128 << 20
@@ -47,7 +47,7 @@ def compact(spark: SparkSession, base: str, table: str = "expenses", target_byte
     spec = REGISTRY[table]
     rows = read_log(spark, base, table).filter(F.col("commit_id").between(first, last))
     rows = rows.withColumns({c: escaped(F.col(c)) for c in spec.partition_by})
-    rows = rows.hint("rebalance", *spec.partition_by).sortWithinPartitions(*spec.partition_by, *spec.keys, "commit_id")
+    rows = rebalanced(rows, spec.partition_by, spec.keys).sortWithinPartitions(*spec.partition_by, *spec.keys, "commit_id")
     path = segment_path(base, table, first, last)
     before = spark.conf.get(ADVISORY, None)
     spark.conf.set(ADVISORY, str(target_bytes))

@@ -22,8 +22,23 @@ def key_filters(keys: tuple[str, ...]) -> dict[str, str]:
     return {**sized, **{f"parquet.bloom.filter.enabled#{k}": "true" for k in keys}} if keys else {}
 
 
+# Parts that each folder's rows are dealt over; few rows are put together again by their bytes.
+PARTS = 64
+
+
+def rebalanced(df: DataFrame, partition_by: tuple[str, ...] = (), keys: tuple[str, ...] = ()) -> DataFrame:
+    """Rows in tasks of about the advisory size, also where one folder gets most rows of one large input task.
+
+    A task's rows of one folder are never split again, so they are dealt over parts by their keys beforehand.
+    """
+    if not partition_by:
+        return df.hint("rebalance")
+    part = F.pmod(F.xxhash64(*(keys or df.columns)), F.lit(PARTS))
+    return df.withColumn("_part", part).hint("rebalance", *partition_by, "_part").drop("_part")
+
+
 def _write(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), keys: tuple[str, ...] = ()) -> None:
-    out = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
+    out = rebalanced(df, partition_by, keys)
     if keys:
         out = out.sortWithinPartitions(*partition_by, *keys)
     writer = out.write.mode("overwrite").option("compression", "snappy").options(**key_filters(keys))
