@@ -139,7 +139,7 @@ def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of the text they decode to."""
     path = tokenizer_path(PIECE_MODEL)
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    found = sentence_pieces.decode(sentence_pieces.encode(docs, path), path)
+    found = sentence_pieces.encode(docs, path, decoded="decoded")
     return found.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -11,7 +11,7 @@ tried twice.
 No piece of such a model holds a space sign behind another character, and line
 ends are never part of one, so a text falls into chunks (a run of space signs
 with the word behind it) that encode independently; chunks recur, and each worker
-remembers a bounded number of them.
+remembers a bounded number of them, those that recur for longer.
 
 Defined results: a null or empty text has no ids and decodes to the empty text;
 control ids decode to nothing; rows are handled one by one, so repeated rows and ids stay
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 SPACE = "▁"
-CACHED_CHUNKS = 400_000  # per worker
+CACHED_CHUNKS = 300_000  # per worker, and as many that were there before the newest
 ROWS_AT_ONCE = 500
 _BYTES_TEXT = "�".encode()
 
@@ -77,14 +77,21 @@ class PieceModel:
         self.apart[[*self.controls, self.unknown]] = True
         # A piece that merging cannot rebuild never appears in a result.
         self.ids = {p: i for p, i in self.ids.items() if len(p) == 1 or self.merged(p) == [p]}
-        self.matcher = ahocorasick.Automaton()
-        for piece, i in self.ids.items():
-            self.matcher.add_word(piece, piece)
-        if self.ids:
-            self.matcher.make_automaton()
+        self.packed = {p: i.to_bytes(4, "little") for p, i in self.ids.items()}
+        self.single = frozenset(p for p in self.ids if len(p) == 1)
+        self.reach = max(map(len, self.ids), default=0)
+        self.trie = ahocorasick.Automaton()
+        #: What a trie's path of a text's characters begins with: the longest piece.
+        self.within: dict[str, str] = {}
+        for piece in sorted(self.ids, key=len):  # longer ones take over their own ends only
+            self.trie.add_word(piece, 0)
+            for end in range(1, len(piece)):
+                self.within.setdefault(piece[:end], self.within.get(piece[: end - 1], piece[:1]))
+            self.within[piece] = piece
         self.shorter = {p: self.next_shorter(p) for p in self.ids}
         self.fits: dict[tuple[str, str], bool] = {}
         self.chunks: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         for value, i in self.bytes.items():
             assert value != 10 or "\n" not in self.scores, "line ends must stand alone"
         assert not any(SPACE in p[1:] and p.strip(SPACE) for p in self.ids), "a space sign inside a piece"
@@ -120,15 +127,15 @@ class PieceModel:
 
     def pieces(self, text: str) -> list[str]:
         """Pieces of a text whose characters are all pieces themselves."""
-        size = len(text)
-        longest: list[str | None] = [None] * (size + 1)
-        for end, piece in self.matcher.iter(text):
-            longest[end + 1 - len(piece)] = piece  # later ends are longer
+        size, reach = len(text), self.reach
+        prefix, within = self.trie.longest_prefix, self.within
         alive = bytearray(b"\1") * (size + 1)  # 0: known to fail
         fits, shorter = self.fits, self.shorter
         out: list[str] = []
-        at, last, piece = 0, None, longest[0]
-        while piece is not None:
+        at, last = 0, None
+        ahead = text[:reach]
+        piece = within[ahead[: prefix(ahead)]]
+        while True:
             end = at + len(piece)
             if alive[end]:
                 good = last is None or fits.get((last, piece))
@@ -136,7 +143,11 @@ class PieceModel:
                     good = self.compatible(last, piece)
                 if good:
                     out.append(piece)
-                    at, last, piece = end, piece, longest[end]
+                    if end == size:
+                        return out
+                    at, last = end, piece
+                    ahead = text[end : end + reach]
+                    piece = within[ahead[: prefix(ahead)]]
                     continue
             piece = shorter[piece]
             if piece is None:
@@ -146,20 +157,24 @@ class PieceModel:
                 piece = out.pop()
                 at -= len(piece)
                 last = out[-1] if out else None
-        return out
 
-    def chunk_ids(self, chunk: str) -> list[int]:
-        out: list[int] = []
+    def chunk_ids(self, chunk: str) -> bytes:
+        """Ids of a chunk as packed 32-bit numbers."""
+        packed = self.packed.__getitem__
+        if self.single.issuperset(chunk):
+            return b"".join(map(packed, self.pieces(chunk)))
+        out: list[bytes] = []
         start = 0
         for i, c in enumerate(chunk):
-            if c not in self.ids:
+            if c not in self.single:
                 if i > start:
-                    out += [self.ids[p] for p in self.pieces(chunk[start:i])]
+                    out += map(packed, self.pieces(chunk[start:i]))
                 start = i + 1
-                out += [self.bytes.get(b, self.unknown) for b in c.encode()] if self.bytes else [self.unknown]
+                ids = [self.bytes.get(b, self.unknown) for b in c.encode()] if self.bytes else [self.unknown]
+                out += [i.to_bytes(4, "little") for i in ids]
         if start < len(chunk):
-            out += [self.ids[p] for p in self.pieces(chunk[start:])]
-        return out
+            out += map(packed, self.pieces(chunk[start:]))
+        return b"".join(out)
 
     def split(self, text: str) -> list[str]:
         """The chunks of a text, in order."""
@@ -172,12 +187,12 @@ class PieceModel:
         """Ids of each text as packed 32-bit numbers."""
         lists = [self.split(t) for t in texts]
         need = set().union(*lists) if lists else set()
-        missing = [c for c in need if c not in self.chunks]
-        if len(self.chunks) + len(missing) > CACHED_CHUNKS:
-            self.chunks.clear()
-            missing = list(need)
+        missing = need.difference(self.chunks)
+        if len(self.chunks) + len(missing) > CACHED_CHUNKS:  # what recurs comes back from the older ones
+            self.older, self.chunks, missing = self.chunks, {}, need
+        known = self.older.get
         for chunk in missing:
-            self.chunks[chunk] = np.array(self.chunk_ids(chunk), dtype="<i4").tobytes()
+            self.chunks[chunk] = known(chunk) or self.chunk_ids(chunk)
         get = self.chunks.__getitem__
         return [b"".join(map(get, chunks)) for chunks in lists]
 
@@ -270,8 +285,12 @@ def _schema(df: DataFrame, drop: str, name: str, kind: T.DataType) -> T.StructTy
     return T.StructType([f for f in df.schema.fields if f.name not in (drop, name)] + [T.StructField(name, kind)])
 
 
-def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``df`` with column ``ids`` (array of int) in place of ``text``; other columns pass through."""
+def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``df`` with column ``ids`` (array of int) in place of ``text``; other columns pass through.
+
+    ``decoded`` names a further column for what these ids decode to, as ``decode`` adds it;
+    the ids then go through one Python worker instead of two.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = model(path)
@@ -283,10 +302,15 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
                 offsets = np.zeros(len(packed) + 1, dtype=np.int32)
                 np.cumsum([len(p) // 4 for p in packed], out=offsets[1:])
                 values = pa.array(np.frombuffer(b"".join(packed), dtype="<i4"))
-                yield _replaced(batch, text, ids, pa.ListArray.from_arrays(pa.array(offsets), values))
+                lists = pa.ListArray.from_arrays(pa.array(offsets), values)
+                out = _replaced(batch, text, ids, lists)
+                yield _replaced(out, "", decoded, pieces.decode_lists(lists)) if decoded else out
 
     ship(df.sparkSession)
-    return df.mapInArrow(run, _schema(df, text, ids, T.ArrayType(T.IntegerType())))
+    schema = _schema(df, text, ids, T.ArrayType(T.IntegerType()))
+    if decoded:
+        schema = T.StructType([*(f for f in schema.fields if f.name != decoded), T.StructField(decoded, T.StringType())])
+    return df.mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
