@@ -51,14 +51,16 @@ def write_batch(
     if resume and "source" not in batch.columns:
         raise ValueError("this feed does not say where its bodies came from, so it cannot go on without its checkpoint")
     stamp = ingest_ts if ingest_ts or "received_at" in batch.columns else datetime.now(timezone.utc).isoformat()
-    classified = classify(unpack(batch), stamp).withColumn("_target", target_of()).persist(StorageLevel.MEMORY_AND_DISK)
+    met = _met(batch, base) if resume else batch.withColumn("_taken", F.lit(False))
+    # What a listed commit has is left out as text, before its bodies are parsed.
+    fresh = met.filter(~F.col("_taken")).drop("_taken")
+    classified = classify(unpack(fresh), stamp).withColumn("_target", target_of()).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        events = _not_taken(classified, base) if resume else classified
-        counts = {r["_target"]: r["n"] for r in events.groupBy("_target").agg(F.count(F.lit(1)).alias("n")).collect()}
+        counts = {r["_target"]: r["n"] for r in classified.groupBy("_target").agg(F.count(F.lit(1)).alias("n")).collect()}
         clear_commit(batch.sparkSession, base, commit_id, archive)
         if "source" in classified.columns:
-            append_side(_intake(classified), base, "intake", commit_id)
-        write_tables(events, counts, base, commit_id, archive)
+            append_side(_intake(classified, met.filter("_taken") if resume else None), base, "intake", commit_id)
+        write_tables(classified, counts, base, commit_id, archive)
         write_commit(batch.sparkSession, base, commit_id, counts, "append", None, writer)
     finally:
         classified.unpersist()
@@ -93,23 +95,27 @@ def write_tables(events: DataFrame, counts: dict[str, int], base: str, commit_id
         append_side(found.dead, base, "dead", commit_id)
 
 
-def _intake(events: DataFrame) -> DataFrame:
+def _intake(events: DataFrame, taken: DataFrame | None = None) -> DataFrame:
     """One row per file, or per topic partition with its last offset; bodies without events count as not taken."""
     position = F.col("position") if "position" in events.columns else F.lit(None).cast("bigint")
-    return events.groupBy("source").agg(F.max(position).alias("position"))
+    told = events.select("source", position.alias("position"))
+    if taken is not None:
+        told = told.unionByName(taken.select("source", position.alias("position")))
+    return told.groupBy("source").agg(F.max("position").alias("position"))
 
 
-def _not_taken(events: DataFrame, base: str) -> DataFrame:
-    """Events from files or offsets that no listed commit has.
+def _met(batch: DataFrame, base: str) -> DataFrame:
+    """The batch, each body marked ``_taken`` if it is from a file or an offset that a listed commit has.
 
     Only the batch's own sources are looked up, at most as many as a batch has files or
-    topic partitions.  Events that do not say where they came from stay.
+    topic partitions, so they go to every task and the bodies stay where they are.  Bodies
+    that do not say where they came from are not taken.
     """
-    own = events.select("source").distinct()
-    taken = read_intake(events.sparkSession, base).join(own, "source", "left_semi").groupBy("source").agg(F.max("position").alias("_taken_to"))
-    later = F.col("position") > F.col("_taken_to") if "position" in events.columns else F.lit(False)
-    joined = events.join(taken.withColumn("_taken", F.lit(True)), "source", "left")
-    return joined.filter(F.col("_taken").isNull() | later).select(*events.columns)
+    own = batch.select("source").distinct()
+    taken = read_intake(batch.sparkSession, base).join(own, "source", "left_semi").groupBy("source").agg(F.max("position").alias("_taken_to"))
+    within = F.coalesce(F.col("position") <= F.col("_taken_to"), F.lit(True)) if "position" in batch.columns else F.lit(True)
+    joined = batch.join(F.broadcast(taken.withColumn("_known", F.lit(True))), "source", "left")
+    return joined.select(*batch.columns, (F.col("_known").isNotNull() & within).alias("_taken"))
 
 
 def first_commit(batch: DataFrame, base: str, batch_id: int, writer: str | None) -> int:
