@@ -44,11 +44,18 @@ def _rest(spec: TableSpec) -> list[Column]:
     return [_text_map(TABLE_MEMBER, *spec.columns.fieldNames()).alias("rest")] if is_text_table(spec) else []
 
 
-def _text_map(*without: str) -> Column:
-    texts = F.transform_values(F.try_variant_get("row", "$", "map<string,string>"), lambda _, v: F.coalesce(v, F.lit("")))
+def _texts() -> Column:
+    return F.transform_values(F.try_variant_get("row", "$", "map<string,string>"), lambda _, v: F.coalesce(v, F.lit("")))
+
+
+def _without(texts: Column, *without: str) -> Column:
     return F.map_filter(texts, lambda name, _: ~name.isin(*without))
 
 
+def _text_map(*without: str) -> Column:
+    return _without(_texts(), *without)
+
+
 def route(rows: DataFrame, tables: list[str] | None = None) -> dict[str, DataFrame]:
     """One DataFrame per registered table out of a mixed feed."""
     return {t: typed_rows(rows, t) for t in (tables or REGISTRY)}
@@ -56,7 +63,10 @@ def route(rows: DataFrame, tables: list[str] | None = None) -> dict[str, DataFra
 
 def text_map_rows(rows: DataFrame) -> DataFrame:
     """Rows of any table, every member as text in one map column."""
-    return rows.select(_text_map(TABLE_MEMBER).alias("members"), *META_COLUMNS, *TIME_COLUMNS)
+    members = F.col("members")
+    # Few rows name their table among their members, so few maps are made twice.
+    named = F.when(F.map_contains_key(members, TABLE_MEMBER), _without(members, TABLE_MEMBER)).otherwise(members)
+    return rows.select(_texts().alias("members"), *META_COLUMNS, *TIME_COLUMNS).withColumn("members", named)
 
 
 def all_strings(df: DataFrame) -> DataFrame:

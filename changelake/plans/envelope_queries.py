@@ -59,8 +59,10 @@ def cut_counts(raw: DataFrame) -> DataFrame:
 def text_map_counts(raw: DataFrame) -> DataFrame:
     """Members per table, counted over the generic text map."""
     rows = T.text_map_rows(N.normalize(raw, INGEST_TS).rows)
-    named = rows.select("cdc_table", F.explode(F.map_keys("members")).alias("member"))
-    return named.groupBy("cdc_table", "member").agg(R.rows().alias("row_count"))
+    # Rows of a table mostly have the same members: lists of them are counted, then taken apart.
+    lists = rows.groupBy("cdc_table", F.map_keys("members").alias("names")).agg(R.rows().alias("n"))
+    named = lists.select("cdc_table", F.explode("names").alias("member"), "n")
+    return named.groupBy("cdc_table", "member").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"))
 
 
 ORDER_ENTRY_MEMBERS = {

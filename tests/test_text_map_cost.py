@@ -1,0 +1,17 @@
+"""The text map's members, and how often rows are taken apart for their counts."""
+
+from changelake.operators import envelope, shaping
+from changelake.plans import envelope_queries
+
+
+def test_members_are_counted_by_lists(spark):
+    bodies = ['{"__table__": "t", "a": 1, "b": null}', '{"__table__": "t", "a": {"x": [1]}}', '{"a": 2, "c": "x"}', '{"c": "y", "a": 3}', "{}", "null", '{"__table__": "u"}']
+    feed = spark.createDataFrame([(b,) for b in bodies * 3], "value string")
+    maps = shaping.text_map_rows(envelope.normalize(feed, "2024-06-01T00:00:00Z").rows).select("cdc_table", "members")
+    got = sorted({(r.cdc_table, tuple(sorted(r.members.items()))) for r in maps.collect()})
+    assert got == [("t", (("a", "1"), ("b", ""))), ("t", (("a", '{"x":[1]}'),)), ("u", ()), ("unknown", (("a", "2"), ("c", "x"))), ("unknown", (("a", "3"), ("c", "y")))]
+    counts = envelope_queries.text_map_counts(feed)
+    assert {(r.cdc_table, r.member): r.row_count for r in counts.collect()} == {("t", "a"): 6, ("t", "b"): 3, ("unknown", "a"): 6, ("unknown", "c"): 6}
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("explode(names", 1)
+    assert "Aggregate" in above and "Aggregate" in below  # lists of names are counted before they are taken apart
