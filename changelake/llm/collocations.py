@@ -5,10 +5,11 @@ keeps them: one stream of all frequent phrases in prefix order, one in suffix or
 
 1. *Counting.*  A phrase counts only if it occurs ``least`` times, and then so do all its
    parts.  So words are counted first, then pairs of frequent words, then longer phrases
-   whose pairs are all frequent.  Tasks send each phrase of a block of ``BLOCK_TOKENS`` words
-   once, whatever its number, so no phrase's rows meet in one task.  What is frequent is told
-   to the next pass by a bit table of a fixed size; two phrases on one bit only mean that
-   more is counted than needed, never less.
+   whose pairs are all frequent.  Pairs and longer phrases are nearly all rare, so they are first counted
+   by a hash of ``KEY_BITS`` bits: a task sends each key of ``HELD_KEYS`` occurrences once, as the step from the key
+   before, in few bytes, to ranges of keys; no phrase's rows meet in one task.  What is frequent is told to the next
+   pass by a bit table of a fixed size.  The last pass counts the phrases by their words, only where the tables say so:
+   two phrases on one key or bit only mean that more is counted than needed, never less.
 2. *Prefix order.*  Sorted by their words, a phrase comes behind all its beginnings: a stack
    of at most ``LONGEST`` entries has the counts of all left parts, and a phrase that is as
    frequent as its beginning covers it.
@@ -49,8 +50,11 @@ TOP = 2000
 UNKNOWN = "und"
 BLOCK_TOKENS = 2_000_000
 FLUSH_WORDS = 400_000  # distinct words that a task holds before it sends their counts on
-WORD_BITS = 25  # the tables have 2^25 bits = 4 MB and 2^26 bits = 8 MB
-PAIR_BITS = 26
+HELD_KEYS = 4_000_000  # occurrences that a task holds before it sends their counts on
+RANGE_KEYS = 2_000_000  # occurrences per range of keys
+KEY_BITS = 40
+WORD_BITS = 25  # the tables have 2^25 bits = 4 MB and, for pairs and for longer phrases, 2^26 bits = 8 MB
+PHRASE_BITS = 26
 STREAM_ROWS = 20_000
 MOST_RANGES = 2_000
 SALTS = 32
@@ -58,7 +62,7 @@ SALTS = 32
 # Only A-Z are lower-cased; piece ends become full stops and tabs become spaces.
 _BREAK = b"."
 _MAPPED = bytes(c + 32 if 65 <= c <= 90 else 46 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c for c in range(256))
-_LEFT, _RIGHT = 0x2545F491, 0x1F35A7BD  # multipliers of a pair's bit
+_LEFT, _RIGHT, _MIX = (np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))  # multipliers of a phrase's key
 
 
 def _tokens(text: str) -> Iterator[list[bytes]]:
@@ -160,42 +164,142 @@ def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return first, number, times
 
 
-def _pair_counter(word_table) -> Callable:
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
+def _joined(begun: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hashes of phrases from those of their beginnings and last words."""
+    return begun * _LEFT + last * _RIGHT
+
+
+def _keys(hashes: np.ndarray) -> np.ndarray:
+    """``KEY_BITS`` well mixed bits of phrases' hashes."""
+    return (((hashes ^ hashes >> np.uint64(32)) * _MIX) >> np.uint64(64 - KEY_BITS)).astype(np.int64)
+
+
+def _bit(keys: np.ndarray) -> np.ndarray:
+    return keys & ((1 << PHRASE_BITS) - 1)
+
+
+def _pairs(frequent: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where a pair of frequent words ends, and its hash."""
+    ends = np.flatnonzero(frequent[1:] & frequent[:-1]) + 1
+    return ends, _joined(word[ends - 1], word[ends])
+
+
+def _pair_keys(word_table) -> Callable:
+    """Keys of the pairs of frequent words, an array per block."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for lang, tokens, lead in _blocks(batches):
-            words, at, frequent, _ = _numbered(lang, tokens, word_table.value)
-            end = np.flatnonzero(frequent[1:] & frequent[:-1] & ~lead[1:]) + 1
-            first, _, times = _distinct(at[end - 1] << 32 | at[end])
-            place = end[first]
-            yield lang, [words[a] + b" " + words[b] for a, b in zip(at[place - 1].tolist(), at[place].tolist())], times
+            _, at, frequent, hashes = _numbered(lang, tokens, word_table.value)
+            ends, pair = _pairs(frequent, hashes.astype(np.uint64)[at])
+            yield _keys(pair[~lead[ends]])
+
+    return keys
+
+
+def _longer_keys(word_table, pair_table) -> Callable:
+    """Keys of the phrases of three words and more whose pairs are all frequent, an array per block and length."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for lang, tokens, lead in _blocks(batches):
+            _, at, frequent, hashes = _numbered(lang, tokens, word_table.value)
+            word = hashes.astype(np.uint64)[at]
+            ends, found = _pairs(frequent, word)
+            kept = _has(pair_table.value, _bit(_keys(found)))
+            ends, found = ends[kept], found[kept]
+            for _ in range(3, LONGEST + 1):
+                # A shorter phrase ends at the word before this end, too.
+                next_ = np.flatnonzero(np.diff(ends) == 1) + 1
+                ends, found = ends[next_], _joined(found[next_ - 1], word[ends[next_]])
+                yield _keys(found[~lead[ends]])
+
+    return keys
 
-    return count
 
+def _phrase_counter(word_table, pair_table, longer_table) -> Callable:
+    """Phrases of two words and more that the tables have, by their words."""
 
-def _longer_counter(word_table, pair_table) -> Callable:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
         for lang, tokens, lead in _blocks(batches):
             words, at, frequent, hashes = _numbered(lang, tokens, word_table.value)
-            mixed = (hashes[at[:-1]] * _LEFT + hashes[at[1:]] * _RIGHT) & ((1 << PAIR_BITS) - 1)
-            pair = np.zeros(len(at), bool)  # a frequent pair ends here
-            pair[1:] = frequent[1:] & frequent[:-1] & _has(pair_table.value, mixed)
-            ends = np.flatnonzero(pair)
-            code = np.full(len(at), -1, np.int64)  # number of the phrase of n - 1 words that ends here
-            code[ends] = _distinct(at[ends - 1] << 32 | at[ends])[1]
-            for n in range(3, LONGEST + 1):
-                ends = ends[(ends >= n - 1) & pair[ends - n + 2]]
-                keys = code[ends - 1] << 32 | code[ends]
-                new = ~lead[ends]
-                first, _, times = _distinct(keys[new])
-                place = ends[new][first]
-                yield lang, [b" ".join([words[i] for i in row]) for row in at[place[:, None] + np.arange(1 - n, 1)].tolist()], times
-                numbers = _distinct(keys)[1]
-                code = np.full(len(at), -1, np.int64)
-                code[ends] = numbers
+            word = hashes.astype(np.uint64)[at]
+            ends, found = _pairs(frequent, word)
+            begun = at[ends - 1]  # number of the phrase's beginning
+            for n in range(2, LONGEST + 1):
+                kept = _has((pair_table if n == 2 else longer_table).value, _bit(_keys(found)))
+                ends, found = ends[kept], found[kept]
+                _, number, _ = _distinct(begun[kept] << 32 | at[ends])
+                new = np.flatnonzero(~lead[ends])
+                first, _, times = _distinct(number[new])
+                rows = at[ends[new[first]][:, None] + np.arange(1 - n, 1)].tolist()
+                yield lang, [b" ".join([words[i] for i in row]) for row in rows], times
+                next_ = np.flatnonzero(np.diff(ends) == 1) + 1
+                begun = number[next_ - 1]
+                ends, found = ends[next_], _joined(found[next_ - 1], word[ends[next_]])
 
     return count
 
 
+def _narrow(values: np.ndarray) -> bytes:
+    """Whole numbers, each in as many bytes as the largest needs."""
+    width = max(1, -(-int(values.max()).bit_length() // 8))
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _widened(data: bytes, number: int) -> np.ndarray:
+    values = np.zeros((number, 8), np.uint8)
+    values[:, : len(data) // number] = np.frombuffer(data, np.uint8).reshape(number, -1)
+    return values.view("<u8").ravel().astype(np.int64)
+
+
+def _range_starts(ranges: int) -> np.ndarray:
+    return np.array([(i << KEY_BITS) // ranges for i in range(ranges)], np.int64)
+
+
+def _sent(keys: np.ndarray, ranges: int, least: int) -> pa.RecordBatch:
+    """``range, number, steps, times``: the distinct keys and how often each occurs, at most ``least``, one row per range."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    times = np.minimum(np.diff(first, append=len(keys)), least)
+    keys, starts = keys[first], _range_starts(ranges)
+    cuts = np.append(np.searchsorted(keys, starts), len(keys)).tolist()
+    rows = [
+        (i, to - at, _narrow(np.diff(keys[at:to], prepend=starts[i])), _narrow(times[at:to])) for i, (at, to) in enumerate(zip(cuts, cuts[1:])) if to > at
+    ]
+    types = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), types)], ["range", "number", "steps", "times"])
+
+
+def _frequent(sent: pa.Table, ranges: int, least: int) -> pa.Table:
+    """``__h``: the keys of one range that occur ``least`` times in all."""
+    start = _range_starts(ranges)[sent.column("range")[0].as_py()]
+    numbers, steps, times = (sent.column(c).to_pylist() for c in ("number", "steps", "times"))
+    keys = np.concatenate([np.cumsum(_widened(s, m)) for s, m in zip(steps, numbers)]) + start
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    total = np.add.reduceat(np.concatenate([_widened(t, m) for t, m in zip(times, numbers)])[order], first)
+    return pa.table({"__h": pa.array(keys[first[total >= least]], pa.int64())})
+
+
+def _frequent_keys(df: DataFrame, keys: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], occurrences: int, least: int) -> DataFrame:
+    """``__h``: keys that occur ``least`` times, counted by ranges of about ``RANGE_KEYS`` of at most ``occurrences``."""
+    ship(df.sparkSession)
+    ranges, most = max(1, -(-occurrences // RANGE_KEYS)), HELD_KEYS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for found in keys(batches):
+            held.append(found)
+            if sum(map(len, held)) >= most:
+                yield _sent(np.concatenate(held), ranges, least)
+                held.clear()
+        if any(map(len, held)):
+            yield _sent(np.concatenate(held), ranges, least)
+
+    sent = df.mapInArrow(run, "range int, number int, steps binary, times binary")
+    return sent.groupBy("range").applyInArrow(lambda table: _frequent(table, ranges, least), "__h long")
+
+
 def _table(hashes: DataFrame, bits: int):
     """Broadcast bit table of ``2^bits`` bits with the bits ``__h`` set; at most ``2^(bits - 6)`` rows reach the driver."""
     at = F.col("__h").bitwiseAND(F.lit((1 << bits) - 1))
@@ -218,11 +322,12 @@ def phrase_counts(df: DataFrame, text: str = "text", lang: str | None = "lang",
     totals = stored(words.filter("phrase is null").select("lang", F.col("f").alias("n")), "phrase-totals")
     words = words.filter("phrase is not null")
     word_table = _table(words.select(_hash_of(F.col("phrase")).alias("__h")), WORD_BITS)
-    pairs = stored(_counts(docs, _pair_counter(word_table), least), "phrase-pairs")
-    sides = [_hash_of(F.substring_index("phrase", " ", k)) for k in (1, -1)]
-    pair_table = _table(pairs.select((sides[0] * _LEFT + sides[1] * _RIGHT).alias("__h")), PAIR_BITS)
-    longer = _counts(docs, _longer_counter(word_table, pair_table), least)
-    found = words.unionByName(pairs).unionByName(longer).select("lang", F.split("phrase", " ").alias("words"), "f")
+    number = totals.agg(F.sum("n")).first()[0] or 0
+    pair_table = _table(_frequent_keys(docs, _pair_keys(word_table), number, least), PHRASE_BITS)
+    longer = _longer_keys(word_table, pair_table)
+    longer_table = _table(_frequent_keys(docs, longer, (LONGEST - 2) * number, least), PHRASE_BITS)
+    phrases = _counts(docs, _phrase_counter(word_table, pair_table, longer_table), least)
+    found = words.unionByName(phrases).select("lang", F.split("phrase", " ").alias("words"), "f")
     return stored(found, "phrases"), totals
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import random
 import re
 import zlib
 from collections import Counter
@@ -183,6 +184,47 @@ def test_collocations_of_odd_texts(spark):
     assert rows(collocations.mine(df.limit(0)), *PHRASES) == set()
 
 
+def test_rare_pairs_are_not_sent_by_their_words(spark, monkeypatch):
+    drawn = random.Random(5).choices([f"w{i}" for i in range(300)], k=30_000)
+    texts = [(" ".join(drawn[at : at + 1000]) + ". new york city", "en") for at in range(0, len(drawn), 1000)]
+    sent, counts = Counter(), collocations._counts
+
+    def watched(df, count, least):
+        for _, phrases, _ in count(iter(df.toArrow().to_batches())):
+            sent.update(p for p in phrases if p and b" " in p)
+        return counts(df, count, least)
+
+    monkeypatch.setattr(collocations, "_counts", watched)
+    df = spark.createDataFrame(texts, "text string, lang string")
+    assert rows(collocations.mine(df, least=30), *PHRASES) == plain_phrases(texts, 30, collocations.TOP)
+    assert set(sent) >= {b"new york", b"york city", b"new york city"}
+    assert len(sent) < 1000  # of some 25,000 pairs
+
+
+def test_phrases_are_counted_over_many_ranges_of_keys(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "RANGE_KEYS", 40)
+    monkeypatch.setattr(collocations, "HELD_KEYS", 100)
+    drawn = random.Random(6).choices("abcdef", [9, 5, 3, 2, 1, 1], k=4000)
+    texts = [(" ".join(drawn[at : at + 40]), ("en", None, "de")[at % 3]) for at in range(0, len(drawn), 40)]
+    df = spark.createDataFrame(texts, "text string, lang string").repartition(3)
+    assert rows(collocations.mine(df, least=4), *PHRASES) == plain_phrases(texts, 4, collocations.TOP)
+
+
+def test_keys_are_counted_exactly_in_few_bytes():
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    draw = np.random.default_rng(7)
+    rare, often = draw.integers(0, 1 << collocations.KEY_BITS, 400_000), draw.integers(0, 1 << collocations.KEY_BITS, 50)
+    blocks = [np.append(rare[at : at + 200_000], np.repeat(often, 60 if at else 45)) for at in (0, 200_000)]
+    blocks += [np.append(often[:10], [0, (1 << collocations.KEY_BITS) - 1]), np.zeros(100, np.int64)]
+    sent = pa.Table.from_batches([collocations._sent(b, 7, 100) for b in blocks])
+    assert sent.nbytes < 6 * len(rare)
+    found = [collocations._frequent(sent.filter(pc.equal(sent["range"], i)), 7, 100) for i in range(7)]
+    assert sorted(pa.concat_tables(found)["__h"].to_pylist()) == sorted([0, *often.tolist()])
+
+
 def test_scores_beyond_64_bits_are_exact(spark):
     phrases = spark.createDataFrame([("en", ["x"], 7 * 10**11), ("en", ["y"], 3 * 10**12 + 1), ("en", ["x", "y"], 6 * 10**11 + 7)], "lang string, words array<string>, f long")
     totals = spark.createDataFrame([("en", 10**15 + 3)], "lang string, n long")
