@@ -17,6 +17,7 @@ pieces twice, each packed on its own; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
 import os
 import unicodedata
 from collections.abc import Iterator
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from changelake.llm.common import stored
 from changelake.llm.shipping import ship
@@ -35,9 +37,16 @@ PIECES = 40_000  # mean of a partition
 ROUNDS = 4
 CACHED_WORDS = 800_000  # per worker
 WORDS_AT_ONCE = 20_000
-MARKS = {b".", b",", b";", b":", b"!", b"?"}
+MARKS = b".,;:!?#$%&*"
 ROWS_AT_ONCE = 2_000  # new words are learnt together
-END = np.zeros(1, dtype="<u4").tobytes()
+END = 0
+
+# How CLIP's word tokenizer makes words of a text; ASCII letters in lower case come to its model as they are.
+_NORMALIZED = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_PARTED = [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
 
 
 def _only_letters(word: bytes) -> bool:
@@ -52,29 +61,37 @@ class WordIds:
 
     The tokenizer lower-cases, so words are kept in ASCII lower case.  Words of letters
     only go to the library many at a time: each ends in one word-end id, where the
-    answer is cut.  A single mark after letters is a word of its own.
+    answer is cut.  Those of ASCII letters skip the normalization and the splitting of a tokenizer
+    known to leave them alone.  Marks after letters are a word of their own.  The words are kept in two
+    parts: a full one takes the place of the older, and what is used moves to the newer.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = self.plain = Tokenizer.from_file(path)
+        made = json.loads(self.tokenizer.to_str())
+        if made["normalizer"] == {"type": "Sequence", "normalizers": _NORMALIZED} and made["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": _PARTED}:
+            self.plain = Tokenizer.from_file(path)
+            self.plain.normalizer, self.plain.pre_tokenizer = None, WhitespaceSplit()
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         for piece, i in vocabulary.items():
             self.ends[i] = piece.endswith("</w>")
         self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _one_by_one(self, words: list[bytes]) -> None:
         found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
         for word, ids in zip(words, found):
             self.words[word] = np.array(ids.ids, dtype="<u4").tobytes()
 
-    def _letters(self, words: list[bytes]) -> None:
+    def _letters(self, words: list[bytes], tokenizer) -> None:
         for at in range(0, len(words), WORDS_AT_ONCE):
             some = words[at : at + WORDS_AT_ONCE]
-            ids = self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids
+            ids = tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids
             ids = np.array(ids, dtype="<u4")
             cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
             if len(cuts) != len(some) or cuts[-1] != len(ids):
@@ -86,31 +103,56 @@ class WordIds:
                 first = cut
 
     def _learn(self, missing: list[bytes]) -> None:
-        letters, marked, others = set(), [], []
+        letters, tails, marked, others = set(), set(), [], []
         for word in missing:
-            if _only_letters(word):
+            stem = word.rstrip(MARKS)
+            if not (stem.isalpha() or _only_letters(stem)):
+                others.append(word)
+            elif len(stem) == len(word):
                 letters.add(word)
-            elif word[-1:] in MARKS and _only_letters(word[:-1]):
-                marked.append(word)
-                if word[:-1] not in self.words:
-                    letters.add(word[:-1])
             else:
-                others.append(word)
-        self._letters(list(letters))
-        self._one_by_one(others + [m for m in MARKS if m not in self.words])
-        for word in marked:
-            self.words[word] = self.words[word[:-1]] + self.words[word[-1:]]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        lists = [t.encode("utf-8", "replace").lower().replace(b"\n", b" ").split(b" ") for t in texts]
-        need = set().union(*lists)
-        missing = list(need.difference(self.words))
-        if len(self.words) + len(missing) > CACHED_WORDS:
-            self.words.clear()
-            missing = list(need)
-        self._learn(missing)
-        get = self.words.__getitem__
-        return [b"".join(map(get, words)) for words in lists]
+                tail = word[len(stem) :]
+                marked.append((word, stem, tail))
+                if stem not in self.words:
+                    letters.add(stem)
+                if tail not in self.words:
+                    tails.add(tail)
+        self._letters([w for w in letters if w.isascii()], self.plain)
+        self._letters([w for w in letters if not w.isascii()], self.tokenizer)
+        self._one_by_one([*tails.union(others)])
+        for word, stem, tail in marked:
+            self.words[word] = self.words[stem] + self.words[tail]
+
+    def _recall(self, need: list[bytes]) -> None:
+        missing = [w for w in need if w not in self.words]
+        if len(self.words) + len(missing) > CACHED_WORDS // 2:
+            self.older, self.words, missing = self.words, {}, need
+        unknown = []
+        for word in missing:
+            ids = self.older.get(word)
+            if ids is None:
+                unknown.append(word)
+            else:
+                self.words[word] = ids
+        self._learn(unknown)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one behind the other, and how many each text has; a null text has none."""
+        lowered = pc.replace_substring(pc.ascii_lower(pc.fill_null(texts, "")), pattern="\n", replacement=" ")
+        lists = pc.split_pattern(lowered, " ")
+        found = lists.flatten().dictionary_encode()
+        need = found.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        self._recall(need)
+        packed = list(map(self.words.__getitem__, need))
+        # Each word's ids are copied from where its first ones lie.
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        at = found.indices.to_numpy()
+        size = sizes[at]
+        ends = np.cumsum(size)
+        place = np.repeat((np.cumsum(sizes) - sizes)[at] - (ends - size), size)
+        place += np.arange(len(place))
+        ids = np.frombuffer(b"".join(packed), "<u4")[place]
+        return ids, np.diff(np.append(0, ends)[lists.offsets.to_numpy()])
 
 
 _TOKENIZERS: dict[str, WordIds] = {}
@@ -132,17 +174,17 @@ def pieces(df: DataFrame, tokenizer: str, capacity: int, text: str = "text") ->
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(at, ROWS_AT_ONCE)
-                texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-                packed = words.encode([t or "" for t in texts])
-                sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4 + 1
+                found, counts = words.encode(batch.column(batch.schema.get_field_index(text)))
+                found = np.insert(found, np.cumsum(counts), END)
+                sizes = counts + 1
                 number = -(-sizes // capacity)
-                rows = np.repeat(np.arange(len(packed)), number)
+                rows = np.repeat(np.arange(len(sizes)), number)
                 piece = np.arange(len(rows)) - np.repeat(np.cumsum(number) - number, number)
                 start = piece * capacity
                 length = np.minimum(sizes[rows] - start, capacity)
                 # The pieces of all texts lie one behind the other.
                 ends = np.append(0, np.cumsum(4 * length)).astype(np.int32)
-                ids = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(END.join([*packed, b""]))])
+                ids = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(found)])
                 rest = [batch.column(f.name).take(pa.array(rows)) for f in kept]
                 new = [pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), ids]
                 yield pa.RecordBatch.from_arrays(rest + new, [f.name for f in kept] + names)

@@ -309,6 +309,39 @@ def test_packing(odd, empty):
     assert packing.pack(packing.pieces(empty, path, 64), 64).count() == 0
 
 
+def test_packing_keeps_words_that_recur(monkeypatch):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path(queries.PACK_TOKENIZER)
+    monkeypatch.setattr(packing, "CACHED_WORDS", 40)
+    tokenizer, words, asked = Tokenizer.from_file(path), packing.WordIds(path), []
+    learn = words._learn
+    words._learn = lambda missing: (asked.extend(missing), learn(missing))
+    often = ["plain", "Plain,", "heat***", "it's", "\u00e9t\u00e9!?", "12%"]
+    for k in range(30):
+        texts = [" ".join([*often, *(f"rare{chr(97 + k % 26)}{chr(97 + k // 26)}{chr(97 + i)}" for i in range(8))]), None]
+        ids, counts = words.encode(pa.array(texts))
+        assert ids.tolist() == tokenizer.encode(texts[0], add_special_tokens=False).ids and counts.tolist() == [len(ids), 0]
+        assert len(words.words) + len(words.older) <= 60
+    assert all(asked.count(w.encode().lower()) == 1 for w in often)
+
+
+def test_packing_marks_and_letters_equal_the_library():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path(queries.PACK_TOKENIZER)
+    tokenizer, words = Tokenizer.from_file(path), packing.WordIds(path)
+    texts = [
+        "left out", "Heat*** word. a$$$ x#%& \u00e9! \u00c9!! \u0130? it's $$$ ..\n\nA  b", None, "", " ", "&&&", "na\u00efve,;: don't*** can't. 12%% a1! \u01c6&",
+        "<|endoftext|>! a<|endoftext|>", "tab\there\r.  e\u0301! \u00df$ \u65e5\u672c. a\u0338! WORD WORD, (word) word's# 's s't",
+    ]
+    ids, counts = words.encode(pa.array(texts).slice(1))
+    found = [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])]
+    assert found == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts[1:]]
+
+
 def test_sentence_pieces_equal_the_library(odd, empty):
     import sentencepiece
 
