@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-from changelake.llm.common import join_counted, stored
+from changelake.llm.common import join_counted, scratch, stored
 from changelake.llm.shipping import ship
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -268,9 +268,10 @@ def mark(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
 
 def representatives(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``df`` whose id is the least of their component, one for each; blank texts all stay."""
-    found = link(df, key, text, words, percent).filter((F.col("__key") == F.col("__label")) & (F.col("__k") == F.col("__group")))
-    kept = found.filter("n_shingles > 0").groupBy("__group").agg(F.min(F.struct("__key", "__th")).alias("__one"))
-    kept = stored(kept.select("__one.*"), "kept")
+    with scratch(df.sparkSession):
+        found = link(df, key, text, words, percent).filter((F.col("__key") == F.col("__label")) & (F.col("__k") == F.col("__group")))
+        kept = found.filter("n_shingles > 0").groupBy("__group").agg(F.min(F.struct("__key", "__th")).alias("__one"))
+        kept = stored(kept.select("__one.*"), "kept", keep=True)
     marked = df.withColumns({"__key": F.coalesce(F.col(key).cast("long"), F.lit(LAST)), "__th": F.xxhash64(text), "__blank": ~F.coalesce(F.col(text), F.lit("")).rlike(r"[^ \t\n\x0B\f\r]")})
     chosen = marked.filter(~F.col("__blank")).join(kept, ["__key", "__th"])
     turn = F.row_number().over(Window.partitionBy("__key", "__th").orderBy(F.lit(0)))

@@ -9,7 +9,7 @@ share at most.
 from __future__ import annotations
 
 from changelake.llm import line_dedup, near_dedup, packing, quality_rules, suffix_dedup
-from changelake.llm.common import read, stored
+from changelake.llm.common import dropped, read, stored
 from changelake.llm.queries import CAPACITY, PACK_TOKENIZER, tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +61,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+    for i, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        if i:  # the first one reads the given table
+            dropped(before)
     return STAGES[-1][1](spark, docs, sf_dir)
