@@ -1,8 +1,11 @@
-"""What the corpus operators leave on disk."""
+"""What the corpus operators leave on disk, and how anchors travel."""
 
 import os
 import time
 
+import numpy as np
+import pyarrow as pa
+
 import corpus_pipeline
 from changelake.llm import common, near_dedup, suffix_dedup
 from changelake.workdir import shared_root
@@ -79,3 +82,25 @@ def test_scratch_is_cleared_when_a_step_fails(spark):
     except ValueError:
         pass
     assert names_of(tables(spark) - before) == ["llm-test-kept"] and kept.count() == 3
+
+
+def test_anchors_of_two_ids_meet_side_by_side():
+    rng = np.random.default_rng(7)
+    sent, owners, parts = [], {}, 5
+    for _ in range(6):  # blocks of several documents; anchor 0 is everywhere, some ids are null
+        found = np.concatenate([rng.integers(-400, 400, 300), np.zeros(20, np.int64)])
+        owner = rng.choice([*range(60), suffix_dedup.LAST], len(found))
+        variant = np.where(owner == suffix_dedup.LAST, rng.integers(0, 3, len(found)), 0).astype(np.int32)
+        for row in zip(found.tolist(), owner.tolist(), variant.tolist()):
+            owners.setdefault(row[0], set()).add(row[1:])
+        columns = suffix_dedup._meeting(found, owner, variant)
+        sent.append(suffix_dedup._packed(suffix_dedup._part_of(columns[0], parts), columns, ["r", "h", "d", "v", "f"]))
+    assert all(b.num_rows <= parts for b in sent)  # not a row for each anchor
+    kinds = [np.int64, np.int64, np.int64, np.int32, np.int64]
+    got = []
+    for columns in suffix_dedup._unpacked(iter(sent), kinds).values():
+        got += zip(*(x.tolist() for x in suffix_dedup._met(*columns)))
+    want = {(h, *o) for h, who in owners.items() if len({d for d, _ in who}) > 1 for o in who}
+    assert set(got) == want and any(len(who) == 1 for who in owners.values())
+    empty = suffix_dedup._packed(np.empty(0, np.int32), [np.empty(0, np.int64)], ["h"])
+    assert empty.num_rows == 0 and suffix_dedup._unpacked(iter([empty]), [np.int64]) == {} and isinstance(empty, pa.RecordBatch)
