@@ -316,8 +316,12 @@ def order_entry(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, Data
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a few files or row groups over tasks, by their bytes, before JSON is made of them."""
-    return df.hint("rebalance")
+    """Deal the rows of a few files or row groups over tasks, by their bytes, before JSON is made of them.
+
+    A file's partitions may be without rows; made rows that all cores have already stay where they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if not df.inputFiles() and df.rdd.getNumPartitions() >= cores else df.hint("rebalance")
 
 
 def over_cores(df: DataFrame) -> DataFrame:
